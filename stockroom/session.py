@@ -58,6 +58,16 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` write under the shared folder."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    d = f"{shared_dir(spark)}/rdd"
+    spark.sparkContext.setCheckpointDir(d)
+    return d
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return f"{shared_dir(spark)}/stockroom/{name}-{uuid.uuid4().hex[:12]}"

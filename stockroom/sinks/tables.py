@@ -34,6 +34,7 @@ from stockroom.operators.enrich import assert_unique
 from stockroom.operators.filters import interval_predicate
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.quality import contract_violations
+from stockroom.session import ensure_checkpoint_dir
 
 PART = "_part"
 DEFAULT_BUCKETS = 16
@@ -94,9 +95,19 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _insert_dynamic(df: DataFrame, table: str, columns: Sequence[str]) -> None:
-    (df.select(*columns).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    """Overwrite only the partitions present in ``df`` (``insertInto``
+    follows the session setting, so it is switched for this write only)."""
+    spark = df.sparkSession
+    before = spark.conf.get(_MODE_KEY, "static")
+    spark.conf.set(_MODE_KEY, "dynamic")
+    try:
+        df.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(_MODE_KEY, before)
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
@@ -135,7 +146,11 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
         new = kept.unionByName(staged)
     else:
         new = latest_per_key(old.unionByName(staged), [*keys], order)
-    _insert_dynamic(new, table, target.columns)
+    # The new content of the touched buckets is written to the shared
+    # checkpoint folder first: Spark does not overwrite a table the same plan
+    # reads, and a failure while replacing the buckets can be retried from it.
+    ensure_checkpoint_dir(spark)
+    _insert_dynamic(new.checkpoint(eager=True), table, target.columns)
 
 
 def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_col: str,
@@ -153,6 +168,7 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
     # Computed once: the written rows and the set of days written agree even
     # if the batch's inputs change meanwhile; lineage is cut at the
     # session's shared checkpoint folder.
+    ensure_checkpoint_dir(spark)
     staged = staged.checkpoint(eager=True)
     written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
     _insert_dynamic(staged, table, target.columns)

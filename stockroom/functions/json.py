@@ -5,7 +5,8 @@ Two forms with the same results on string-valued output:
 * ``json_fields``        one ``get_json_object`` per output column (the
                           literal form: the document is parsed once per field);
 * ``json_struct_fields`` one ``from_json`` with a declared all-STRING struct
-                          (the document is parsed once per row).
+                          (the document is parsed exactly once per row, also
+                          when later filters use the extracted fields).
 
 Both return a field's JSON text when it is an object/number/boolean, null when
 the path is missing, the value is JSON null or the document is malformed.
@@ -62,7 +63,11 @@ def json_struct_fields(df: DataFrame, col: str, spec: Mapping[str, str],
                        parsed: str = "__json") -> DataFrame:
     """Same output as :func:`json_fields`, parsing each document once."""
     schema = all_string_schema(list(spec.values()))
-    out = df.withColumn(parsed, F.from_json(F.col(col), schema))
+    # Parse barrier: the struct is emitted by a one-element generator, so a
+    # later filter on an extracted field (e.g. "id is not null") is evaluated
+    # on the parsed struct instead of being pushed below the projection and
+    # re-parsing the document (Catalyst inlines aliases into pushed filters).
+    out = df.select("*", F.explode(F.array(F.from_json(F.col(col), schema))).alias(parsed))
 
     def leaf(path: str) -> Column:
         c = F.col(parsed)

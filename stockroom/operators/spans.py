@@ -103,40 +103,42 @@ def _sweep(spans, start, end, dims, measures, outer, lo, hi, day_col, age_col, a
     if outer and (lo is not None or hi is not None):
         raise ValueError("clamping is defined for the inner expansion only")
     s, e = _clamped(start, end, lo, hi)
-    base = spans.select(
-        *[F.col(d) for d in dims],
-        s.alias("__s"), e.alias("__e"),
-        F.datediff(day_of(_c(start)), _epoch()).cast("bigint").alias("__s0"),
-        *[m.cast("bigint").alias(n) for n, m in measures.items()])
-    valid = base.where(F.col("__s") <= F.col("__e"))
+    s0 = F.datediff(day_of(_c(start)), _epoch()).cast("bigint")
     names = ["__n", "__s0", *measures]
 
-    def change(day: Column, sign: int) -> DataFrame:
-        vals = [F.lit(sign).cast("bigint").alias("__n"),
-                (F.col("__s0") * sign).alias("__s0"),
-                *[(F.col(n) * sign).alias(n) for n in measures]]
-        return valid.select(*dims, day.alias(day_col), *vals)
-
-    deltas = (change(F.col("__s"), 1)
-              .unionByName(change(F.date_add(F.col("__e"), 1), -1))
+    def change(day: Column, sign: int) -> Column:
+        return F.struct(day.alias(day_col), F.lit(sign).cast("bigint").alias("__n"),
+                        (s0 * sign).alias("__s0"),
+                        *[(m.cast("bigint") * sign).alias(n) for n, m in measures.items()])
+
+    # One pass over the spans: a valid span emits +1 on its first day and -1
+    # on the day after its last; with ``outer`` an invalid span emits one row
+    # with a null day that only carries its measures.
+    valid = s <= e
+    events = F.when(valid, F.array(change(s, 1), change(F.date_add(e, 1), -1)))
+    if outer:
+        events = events.otherwise(F.array(change(F.lit(None).cast("date"), 1)))
+    deltas = (spans.select(*[F.col(d) for d in dims], F.explode(events).alias("__c"))
+              .select(*dims, "__c.*")
               .groupBy(*dims, day_col)
               .agg(*[F.sum(n).alias(n) for n in names]))
+
     w = Window.partitionBy(*dims).orderBy(day_col)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    day = F.col(day_col)
+    # Running sums over the change days (null-day rows excluded); a null-day
+    # row (outer form) keeps its own measures.
     run = deltas.select(
-        *dims, F.col(day_col).alias("__from"),
-        F.lead(day_col).over(w).alias("__to"),
-        *[F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in names])
-    covered = (run.where(F.col("__n") > 0)
-               .withColumn(day_col, F.explode(F.sequence(
-                   F.col("__from"), F.date_sub(F.col("__to"), 1), F.expr("interval 1 day")))))
-    age = F.col("__n") * F.datediff(F.col(day_col), _epoch()) - F.col("__s0")
-    out = covered.select(F.col(day_col), *dims, *[F.col(n) for n in measures],
-                         (age if age_long else age.cast("int")).cast("bigint").alias(age_col))
-    if not outer:
-        return out
-    nulls = (base.where(~F.coalesce(F.col("__s") <= F.col("__e"), F.lit(False)))
-             .groupBy(*dims)
-             .agg(*[F.sum(n).cast("bigint").alias(n) for n in measures])
-             .select(F.lit(None).cast("date").alias(day_col), *dims, *measures,
-                     F.lit(None).cast("bigint").alias(age_col)))
-    return out.unionByName(nulls)
+        *dims, day.alias("__from"), F.lead(day).over(w).alias("__to"),
+        *[F.when(day.isNull(), F.col(n))
+           .otherwise(F.sum(F.when(day.isNotNull(), F.col(n))).over(upto)).alias(n)
+          for n in names])
+    # Between two change days the covering set is constant: one row per day.
+    days_ = F.when(F.col("__n") > 0, F.sequence(F.col("__from"), F.date_sub(F.col("__to"), 1),
+                                                  F.expr("interval 1 day")))
+    if outer:
+        days_ = F.when(F.col("__from").isNull(), F.array(F.lit(None).cast("date"))).otherwise(days_)
+    covered = run.withColumn(day_col, F.explode(days_))
+    age = F.col("__n") * F.datediff(day, _epoch()) - F.col("__s0")
+    return covered.select(day, *dims, *[F.col(n) for n in measures],
+                          age.cast("bigint").alias(age_col))

@@ -61,7 +61,18 @@ def all_string_schema(paths: list[str]) -> T.StructType:
 
 def json_struct_fields(df: DataFrame, col: str, spec: Mapping[str, str],
                        parsed: str = "__json") -> DataFrame:
-    """Same output as :func:`json_fields`, parsing each document once."""
+    """Same output as :func:`json_fields`, parsing each document once.
+
+    A path that is also the parent of another requested path would be a
+    struct in the parsed schema, not JSON text; such paths are extracted with
+    ``get_json_object`` instead.
+    """
+    paths = list(spec.values())
+    nested = {p for p in paths if any(q.startswith(p + ".") for q in paths)}
+    direct = {o: p for o, p in spec.items() if p in nested}
+    spec = {o: p for o, p in spec.items() if p not in nested}
+    if not spec:
+        return json_fields(df, col, direct)
     schema = all_string_schema(list(spec.values()))
     # Parse barrier: the struct is emitted by a one-element generator, so a
     # later filter on an extracted field (e.g. "id is not null") is evaluated
@@ -75,4 +86,5 @@ def json_struct_fields(df: DataFrame, col: str, spec: Mapping[str, str],
             c = c.getField(part)
         return c
 
-    return out.withColumns({o: leaf(p) for o, p in spec.items()}).drop(parsed)
+    out = out.withColumns({o: leaf(p) for o, p in spec.items()}).drop(parsed)
+    return json_fields(out, col, direct) if direct else out

@@ -20,6 +20,7 @@ from stockroom.operators.latest import (
 )
 from stockroom.operators.quality import contract_schema, enforce_contract
 from stockroom.operators.spans import daily_stock
+from stockroom.sources.tables import MARKETS, RAW_EVENTS, VEHICLE_DATA, declare
 
 # Fixed values of the model specification: output column -> JSON path of the
 # demo event envelope.
@@ -66,7 +67,7 @@ def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
              lenient: bool = False) -> DataFrame:
     """Typed demo events, one row per ``(inventory_id, event_timestamp)``:
     the most recently processed delivery wins (ties: greater raw value)."""
-    p = extract(raw, DEMO_PATHS, json)
+    p = extract(declare(raw, RAW_EVENTS, "raw events"), DEMO_PATHS, json)
     typed = p.select(
         F.col("timestamp").alias("event_timestamp"),
         to_date("arrival_date", lenient).alias("arrival_date"),
@@ -106,6 +107,8 @@ def agg_demo(events: DataFrame, markets: DataFrame, vehicles: DataFrame,
     """Vehicle spans left-joined to markets (by country, broadcast after a
     size check) and vehicle data (by inventory_id)."""
     spans = vehicle_spans(events, method)
+    markets = declare(markets, MARKETS, "markets")
+    vehicles = declare(vehicles, VEHICLE_DATA, "vehicle data")
     j = left_join_dimension(spans, markets.select("country", "region", "market"), "country")
     j = left_join_entity(j, vehicles.select("inventory_id", "model_series", "engine_type"),
                          "inventory_id")

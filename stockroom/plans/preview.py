@@ -15,6 +15,7 @@ from stockroom.operators.filters import drop_null_key, valid_spans
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.spans import daily_stock
 from stockroom.plans.demo import extract
+from stockroom.sources.tables import RAW_EVENTS, declare
 
 # Fixed values of the model specification: output column -> JSON path.
 PREVIEW_PATHS = {
@@ -32,7 +33,7 @@ LATEST_ORDER = ("event_timestamp", "processed_at", "__value")
 
 def parse_preview(raw: DataFrame, json: str = "struct") -> DataFrame:
     """Typed snapshot rows with a non-null id (plus ordering helpers)."""
-    p = extract(raw, PREVIEW_PATHS, json)
+    p = extract(declare(raw, RAW_EVENTS, "raw events"), PREVIEW_PATHS, json)
     p = p.select(F.col("timestamp").alias("event_timestamp"), "inventory_id",
                  "removal_date_time", "creation_date_time", "processed_at",
                  F.col("value").alias("__value"))

@@ -7,9 +7,9 @@ or any catalog the cluster provides. Plain parquet has no MERGE, so:
 * **merge by key** stores the table partitioned by a hash bucket of the key
   (hidden column ``_part``) and rewrites *only the buckets the batch
   touches* with a dynamic partition overwrite: the old rows of those buckets
-  are read (dynamic partition pruning from a semi-join on the touched
-  buckets), the batch's keys are anti-joined away, the batch is added. Cost
-  grows with the touched buckets, not with the table.
+  are read (static partition filter on the touched bucket ids, at most
+  ``buckets`` values), the batch's keys are anti-joined away, the batch is
+  added. Cost grows with the touched buckets, not with the table.
 * **time-range replace** stores the table partitioned by day (``_part``);
   the batch overwrites its days dynamically and the range's days the batch
   no longer has are dropped from the catalog (listed with ``SHOW
@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.operators.enrich import assert_unique
 from stockroom.operators.filters import interval_predicate
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.quality import contract_violations
@@ -79,8 +78,16 @@ def with_comments(spark: SparkSession, table: str, comment: str | None = None,
 
 
 def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
-               comment: str | None = None) -> None:
-    """Full refresh: recompute and replace the table."""
+               comment: str | None = None, cluster_by: Sequence[str] = ()) -> None:
+    """Full refresh: recompute and replace the table.
+
+    ``cluster_by``: range-partition and sort the rows by these columns before
+    writing (files hold disjoint, sorted key ranges, so min/max statistics
+    prune reads); the global order of an ordered model is kept this way
+    without a single sorted partition.
+    """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -114,6 +121,18 @@ def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _check_keys(batch: DataFrame, keys: Sequence[str]) -> None:
+    """One aggregation: reject null keys (they never match) and keys repeated
+    within the batch (the result would depend on row order)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = (batch.groupBy(*keys)
+                .agg(F.count(F.lit(1)).alias("n"))
+                .where((F.col("n") > 1) | any_null)
+                .limit(1).collect())
+    if bad:
+        raise ValueError(f"merge batch has a null or repeated key {list(keys)}: {bad[0].asDict()}")
+
+
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
                  buckets: int = DEFAULT_BUCKETS, order: Sequence | None = None,
                  check: bool = True) -> None:
@@ -127,20 +146,21 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     the batch (the result would depend on row order).
     """
     keys = list(keys)
+    # The batch is computed once (parsing, dedup...) and cut from its lineage
+    # in the shared checkpoint folder; checks and merge read that copy.
+    ensure_checkpoint_dir(spark)
+    staged = batch.withColumn(PART, bucket_of(keys, buckets)).checkpoint(eager=True)
     if check:
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        nulls = batch.where(any_null).limit(1).count()
-        if nulls:
-            raise ValueError(f"merge batch has null values in key {keys}")
-        assert_unique(batch, keys, "merge batch")
-    staged = batch.withColumn(PART, bucket_of(keys, buckets))
+        _check_keys(staged, keys)
     if not table_exists(spark, table):
         staged.write.format("parquet").partitionBy(PART).saveAsTable(table)
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
-    touched = staged.select(PART).distinct()
-    old = target.join(touched, PART, "left_semi")
+    # At most ``buckets`` small ints: a static partition filter, so only the
+    # touched bucket directories of the target are listed and read.
+    touched = [r[0] for r in staged.select(PART).distinct().collect()]
+    old = target.where(F.col(PART).isin(touched))
     if order is None:
         kept = old.join(staged.select(*keys, PART), [*keys, PART], "left_anti")
         new = kept.unionByName(staged)

@@ -35,14 +35,18 @@ def source(spark: SparkSession, name_or_path: str,
     checked (by name; extra columns allowed) and projected to them."""
     df = (spark.read.parquet(name_or_path) if "/" in name_or_path
           else spark.table(name_or_path))
-    if declared is None:
-        return df
+    return df if declared is None else declare(df, declared, name_or_path)
+
+
+def declare(df: DataFrame, declared: T.StructType | Mapping, name: str = "input") -> DataFrame:
+    """Check that ``df`` has the declared columns (by name, exact type; extra
+    columns allowed) and project to them. No Spark job runs."""
     if not isinstance(declared, T.StructType):
         declared = contract_schema(declared)
     errs = [e for e in contract_violations(df.schema, declared)
             if not e.startswith("unexpected column")]
     if errs:
-        raise ContractError(f"source {name_or_path}: " + "; ".join(errs))
+        raise ContractError(f"source {name}: " + "; ".join(errs))
     return df.select(*declared.fieldNames())
 
 

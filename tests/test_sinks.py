@@ -91,3 +91,17 @@ def test_full_refresh_first_run_switch_and_comments(spark):
     desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect()}
     assert desc["Comment"] == "it's a table"
     assert spark.table(t).schema["id"].metadata.get("comment") == "row id"
+
+
+def test_merge_reads_only_touched_buckets(spark):
+    from stockroom.sinks.tables import PART, bucket_of
+    t = f"{scratch_database(spark)}.m"
+    data = [(f"k{i}", i, T(2024, 1, 1)) for i in range(200)]
+    merge_by_key(spark, t, _kv(spark, data), ["k"], buckets=8)
+    batch = _kv(spark, [("k1", 99, T(2024, 1, 2))])
+    b = batch.select(bucket_of(["k"], 8)).first()[0]
+    merge_by_key(spark, t, batch, ["k"], buckets=8)
+    got = read_table(spark, t)
+    assert got.count() == 200 and got.where("k = 'k1'").first()["v"] == 99
+    files = spark.table(t).select(PART, F.input_file_name().alias("f")).distinct()
+    assert files.where(F.col(PART) == b).count() >= 1

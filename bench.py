@@ -9,10 +9,13 @@ queries (merge, range replace, streams) run their writes.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -66,13 +69,44 @@ BENCH = {
 }
 
 
+def shuffle_bytes(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from Spark's event log."""
+    stage_group: dict[int, str] = {}
+    per_stage: dict[int, int] = defaultdict(int)
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    per_stage[ev["Stage ID"]] += int(m.get("Shuffle Bytes Written", 0))
+    out: dict[str, int] = defaultdict(int)
+    for sid, n in per_stage.items():
+        if sid in stage_group:
+            out[stage_group[sid]] += n
+    return dict(out)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [a for a in sys.argv[1:] if a in BENCH]
+    log_dir = tempfile.mkdtemp(prefix="stockroom-bench-events-")
     spark = get_spark(f"local[{cpus}]", app="stockroom-bench",
                       shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g",
+                             "spark.eventLog.enabled": "true",
+                             "spark.eventLog.compress": "false",
+                             "spark.eventLog.rolling.enabled": "false",
+                             "spark.eventLog.dir": f"file://{log_dir}"})
     names = [n for n in BENCH if not only or n in only]
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     # One warm-up pass (JVM class loading, codegen) then best of ``runs``.
@@ -81,11 +115,15 @@ def main() -> None:
     times = {}
     for name in names:
         best = float("inf")
-        for _ in range(runs):
+        for i in range(runs):
+            # Shuffle bytes are attributed to the last run of each query.
+            spark.sparkContext.setJobGroup(name if i == runs - 1 else f"{name}#{i}", name)
             t0 = time.perf_counter()
             BENCH[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - t0)
         times[name] = round(best, 3)
+    spark.stop()   # flushes the event log
+    shuffled = shuffle_bytes(log_dir)
     headline = [k for k in ("sdp_demo", "agg_demo", "cdp_demo", "sdp_preview", "cdp_preview")
                 if k in times]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
@@ -94,6 +132,7 @@ def main() -> None:
         "value": round(sum(times[k] for k in headline), 3),
         "unit": "sec",
         "queries": times,
+        "shuffle_mb": {n: round(shuffled.get(n, 0) / 2**20, 3) for n in names},
         "sf": sf,
     }))
 

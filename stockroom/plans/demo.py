@@ -66,7 +66,9 @@ def extract(raw: DataFrame, paths: dict, json: str = "struct") -> DataFrame:
 def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
              lenient: bool = False) -> DataFrame:
     """Typed demo events, one row per ``(inventory_id, event_timestamp)``:
-    the most recently processed delivery wins (ties: greater raw value)."""
+    the most recently processed delivery wins. Remaining ties break on a
+    64-bit hash of the raw text: deterministic, and 8 bytes through the
+    shuffle instead of the whole document."""
     p = extract(declare(raw, RAW_EVENTS, "raw events"), DEMO_PATHS, json)
     typed = p.select(
         F.col("timestamp").alias("event_timestamp"),
@@ -75,7 +77,7 @@ def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
         "inventory_id", "country", "vehicle_condition", "vehicle_type", "dealer_name",
         default_if_null(to_bool("online_orderable", lenient), False).alias("online_orderable"),
         to_bool("porsche_approved", lenient).alias("porsche_approved"),
-        "processed_at", F.col("value").alias("__value"))
+        "processed_at", F.xxhash64("value").alias("__value"))
     typed = drop_null_key(typed, "inventory_id")
     out = dedup_redelivery(typed, order=("processed_at", "__value"), method=method).drop("__value")
     return enforce_contract(out.select(*SDP_DEMO_CONTRACT.fieldNames()), SDP_DEMO_CONTRACT)

@@ -26,8 +26,9 @@ PREVIEW_PATHS = {
 
 SNAPSHOT_COLUMNS = ["event_timestamp", "inventory_id", "removal_date_time", "creation_date_time"]
 
-# Ordering of "latest": event time, then processing time, then the raw text
-# (so that ties resolve the same way on every run).
+# Ordering of "latest": event time, then processing time, then a 64-bit hash
+# of the raw text (ties resolve the same way on every run; the hash keeps the
+# raw document out of the shuffle).
 LATEST_ORDER = ("event_timestamp", "processed_at", "__value")
 
 
@@ -36,7 +37,7 @@ def parse_preview(raw: DataFrame, json: str = "struct") -> DataFrame:
     p = extract(declare(raw, RAW_EVENTS, "raw events"), PREVIEW_PATHS, json)
     p = p.select(F.col("timestamp").alias("event_timestamp"), "inventory_id",
                  "removal_date_time", "creation_date_time", "processed_at",
-                 F.col("value").alias("__value"))
+                 F.xxhash64("value").alias("__value"))
     return drop_null_key(p, "inventory_id")
 
 

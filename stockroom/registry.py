@@ -566,12 +566,12 @@ def q_stream_upsert_latest(spark, sf):
 
     def to_rows(batch: DataFrame) -> DataFrame:
         landed = land_raw(batch, processed_at=F.col("timestamp") + F.expr("interval 1 hour"))
-        return preview.parse_preview(landed).withColumnRenamed("__value", "raw_value")
+        return preview.parse_preview(landed).withColumnRenamed("__value", "raw_hash")
 
     def run():
         src = read_stream(spark, "parquet", KAFKA_SCHEMA(), topic, maxFilesPerTrigger="2")
         stream_upsert_latest(src, t, ["inventory_id"],
-                             ["event_timestamp", "processed_at", "raw_value"], ckpt,
+                             ["event_timestamp", "processed_at", "raw_hash"], ckpt,
                              transform=to_rows).awaitTermination()
 
     # Late rows first: the recency guard must keep the newer stored rows.

@@ -54,17 +54,23 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="stockroom-")
         spark.conf.set(_CHECKPOINT_KEY, root)
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+        ensure_checkpoint_dir(spark)
     return root.rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` write under the shared folder."""
-    current = spark.sparkContext.getCheckpointDir()
+    """Make ``DataFrame.checkpoint()`` write under the shared folder (a
+    remote Spark Connect session has no local context; its server's own
+    checkpoint setting applies)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get(_CHECKPOINT_KEY, "")
+    current = sc.getCheckpointDir()
     if current:
         return current
     d = f"{shared_dir(spark)}/rdd"
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
 
 

@@ -45,13 +45,13 @@ def test_stream_upsert_equals_batch_latest(spark):
 
     def to_rows(batch):
         landed = land_raw(batch, processed_at=F.col("timestamp") + F.expr("interval 1 hour"))
-        return preview.parse_preview(landed).withColumnRenamed("__value", "raw_value")
+        return preview.parse_preview(landed).withColumnRenamed("__value", "raw_hash")
 
     late_first = F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz")
     for part in (late_first, ~late_first):
         kafka.where(part).write.mode("append").parquet(topic)
         src = read_stream(spark, "parquet", contract_schema(KAFKA), topic, maxFilesPerTrigger="1")
-        stream_upsert_latest(src, t, ["inventory_id"], ["event_timestamp", "processed_at", "raw_value"],
+        stream_upsert_latest(src, t, ["inventory_id"], ["event_timestamp", "processed_at", "raw_hash"],
                              ckpt, transform=to_rows).awaitTermination()
     got = read_table(spark, t).select(*preview.SNAPSHOT_COLUMNS)
     assert rows(got) == rows(preview.sdp_preview(raw))

@@ -70,11 +70,28 @@ def latest_attributes(df: DataFrame, key: str, ts_col: str, cols: Sequence[str],
     return agg.select(key, *[F.col("__latest")[c].alias(c) for c in cols], *rest)
 
 
-def first_over_full_frame(df: DataFrame, key: str, order: Sequence, cols: Sequence[str]) -> DataFrame:
+def first_over_full_frame(df: DataFrame, key: str, order: Sequence, cols: Sequence[str],
+                          method: str = "join") -> DataFrame:
     """``first_value(c) over (partition by key order by ... rows between
     unbounded preceding and unbounded following)`` for each c; every input
-    row kept. Literal window form (one sort per key, whole group in one task);
-    prefer :func:`latest_attributes`, which reduces before the shuffle."""
-    w = (Window.partitionBy(key).orderBy(*_order_cols(order))
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumns({c: F.first_value(F.col(c)).over(w) for c in cols})
+    row kept, each carrying its key's first values.
+
+    ``method="join"`` (default): the first values per key come from one
+    partial+final aggregate (:func:`latest_per_key`, ``max_by`` form) and are
+    joined back on the key (null-safe, so a null key gets its group's
+    values). No task ever holds a whole group: a hot key meets one row on the
+    build side (broadcast when small, otherwise AQE splits the skewed side).
+    ``method="window"``: the literal window, which buffers each key's whole
+    group in one task.
+    """
+    if method == "window":
+        w = (Window.partitionBy(key).orderBy(*_order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        return df.withColumns({c: F.first_value(F.col(c)).over(w) for c in cols})
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
+    firsts = latest_per_key(df.select(key, *[o for o in order if o not in cols and o != key], *cols),
+                            [key], order, method="max_by")
+    firsts = firsts.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__f_{c}") for c in cols])
+    joined = df.join(firsts, df[key].eqNullSafe(firsts["__k"]), "left")
+    return joined.withColumns({c: F.col(f"__f_{c}") for c in cols}).select(*df.columns)

@@ -83,13 +83,16 @@ def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
     return enforce_contract(out.select(*SDP_DEMO_CONTRACT.fieldNames()), SDP_DEMO_CONTRACT)
 
 
-def vehicle_spans(events: DataFrame, method: str = "max_by") -> DataFrame:
+def vehicle_spans(events: DataFrame, method: str = "max_by", frame: str = "join") -> DataFrame:
     """One row per vehicle: span ``min..max(event_timestamp)``, the latest
     event's attributes, event count, last processing time.
 
     ``max_by``: a single partial+final aggregation (one shuffle, one row per
-    vehicle and map task). ``window``: the literal form, eight
-    ``first_value`` columns over a full frame, then ``any_value``.
+    vehicle and map task). ``window``: the model's own formulation, eight
+    ``first_value`` columns over a full frame, then ``any_value``; ``frame``
+    picks how the full-frame values are computed (see
+    :func:`first_over_full_frame`; ``"window"`` is the literal plan that
+    buffers each vehicle's history in one task, kept for comparison).
     """
     extra = [F.min("event_timestamp").alias("valid_from"),
              F.max("event_timestamp").alias("valid_to"),
@@ -98,17 +101,18 @@ def vehicle_spans(events: DataFrame, method: str = "max_by") -> DataFrame:
     if method == "max_by":
         return latest_attributes(events, "inventory_id", "event_timestamp", ATTRIBUTES, extra)
     if method == "window":
-        w = first_over_full_frame(events, "inventory_id", ["event_timestamp"], ATTRIBUTES)
+        w = first_over_full_frame(events, "inventory_id", ["event_timestamp"], ATTRIBUTES,
+                                  method=frame)
         return w.groupBy("inventory_id").agg(
             *[F.any_value(c).alias(c) for c in ATTRIBUTES], *extra)
     raise ValueError(method)
 
 
 def agg_demo(events: DataFrame, markets: DataFrame, vehicles: DataFrame,
-             method: str = "max_by") -> DataFrame:
+             method: str = "max_by", frame: str = "join") -> DataFrame:
     """Vehicle spans left-joined to markets (by country, broadcast after a
     size check) and vehicle data (by inventory_id)."""
-    spans = vehicle_spans(events, method)
+    spans = vehicle_spans(events, method, frame)
     markets = declare(markets, MARKETS, "markets")
     vehicles = declare(vehicles, VEHICLE_DATA, "vehicle data")
     j = left_join_dimension(spans, markets.select("country", "region", "market"), "country")

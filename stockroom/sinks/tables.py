@@ -169,8 +169,10 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     # The new content of the touched buckets is written to the shared
     # checkpoint folder first: Spark does not overwrite a table the same plan
     # reads, and a failure while replacing the buckets can be retried from it.
+    # Grouped by bucket first (keys are unique, so buckets are balanced by the
+    # hash): each bucket is then written as one file, not one per task.
     ensure_checkpoint_dir(spark)
-    _insert_dynamic(new.checkpoint(eager=True), table, target.columns)
+    _insert_dynamic(new.repartition(F.col(PART)).checkpoint(eager=True), table, target.columns)
 
 
 def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_col: str,

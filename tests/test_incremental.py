@@ -85,3 +85,17 @@ def test_cdp_range_replaces_days_that_became_empty(spark):
     snap2 = snap1.withColumn("removal_date_time", F.lit("2024-01-02T00:00:00"))
     incremental.cdp_incremental_range(spark, snap2, t, "2024-01-01", "2024-01-10", "2024-02-01 00:00:00")
     assert sorted(str(r["stock_date"]) for r in read_table(spark, t).collect()) == ["2024-01-01", "2024-01-02"]
+
+
+def test_hwm_empty_existing_target_loads_everything(spark):
+    """T4 deviation: an existing but empty target has no mark -> full load
+    (with a null mark the strict filter would never load anything)."""
+    db = scratch_database(spark)
+    raw, t = f"{db}.raw", f"{db}.snap"
+    data = _raw(spark, [(T(2024, 1, 5), "A", "2024-01-01", None), (T(2024, 1, 6), "B", "2024-01-01", None)])
+    write_full(data, raw)
+    spark.sql(f"CREATE TABLE {t} (event_timestamp timestamp_ntz, inventory_id string, "
+              f"removal_date_time string, creation_date_time string, _part int) "
+              f"USING parquet PARTITIONED BY (_part)")
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), t)
+    assert sorted(r["inventory_id"] for r in read_table(spark, t).collect()) == ["A", "B"]

@@ -43,3 +43,11 @@ def test_first_value_full_frame_equals_latest(spark):
     w = first_over_full_frame(ev, "k", ["ts"], ["attr"])
     assert {r["attr"] for r in w.collect()} == {None}
     assert w.count() == 3
+
+
+def test_first_value_join_form_equals_window_form(spark):
+    ev = _events(spark).where(F.col("k") != "b")   # "b" has a tie on ts
+    a = first_over_full_frame(ev, "k", ["ts"], ["attr"], method="window")
+    b = first_over_full_frame(ev, "k", ["ts"], ["attr"], method="join")
+    assert rows(a) == rows(b)
+    assert "Window" not in b._jdf.queryExecution().executedPlan().toString()

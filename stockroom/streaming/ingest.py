@@ -53,9 +53,14 @@ def read_stream(spark: SparkSession, fmt: str, schema: T.StructType | None = Non
 def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = None) -> DataFrame:
     """Keep key/topic/timestamp/value, decode bytes to text, stamp
     ``processed_at`` (the processing time by default). Works on batch and
-    streaming frames."""
+    streaming frames.
+
+    Both times are landed as ``timestamp_ntz`` (the declared raw schema): a
+    zone-aware source time is converted to its wall time in the session time
+    zone, which :func:`stockroom.session.get_spark` pins to UTC.
+    """
     if processed_at is None:
-        stamp = F.current_timestamp()
+        stamp = F.current_timestamp().cast("timestamp_ntz")
     elif isinstance(processed_at, Column):
         stamp = processed_at
     else:
@@ -64,7 +69,7 @@ def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = N
         stamp = F.lit(processed_at).cast("timestamp_ntz")
     return df.select(F.col("key").cast("string").alias("key"),
                      F.col("topic").cast("string").alias("topic"),
-                     F.col("timestamp"),
+                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                      F.col("value").cast("string").alias("value"),
                      stamp.alias("processed_at"))
 

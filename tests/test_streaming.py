@@ -55,3 +55,17 @@ def test_stream_upsert_equals_batch_latest(spark):
                              ckpt, transform=to_rows).awaitTermination()
     got = read_table(spark, t).select(*preview.SNAPSHOT_COLUMNS)
     assert rows(got) == rows(preview.sdp_preview(raw))
+
+
+def test_land_raw_types_match_declared_raw_schema(spark):
+    import datetime as dt
+    from stockroom.sources.tables import RAW_EVENTS, declare
+    from stockroom.streaming.ingest import kafka_options
+    src = spark.createDataFrame([(b"k", "t", dt.datetime(2024, 1, 1), b'{"a":1}')],
+                                "key binary, topic string, timestamp timestamp, value binary")
+    landed = land_raw(src)
+    declare(landed, RAW_EVENTS)   # zone-aware source time and default stamp become NTZ
+    assert landed.first()["value"] == '{"a":1}'
+    opts = kafka_options("broker:9092", "topic", "user", "secret")
+    assert opts["startingOffsets"] == "earliest" and opts["kafka.security.protocol"] == "SASL_SSL"
+    assert "includeHeaders" in opts and "subscribe" in opts

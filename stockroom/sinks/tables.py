@@ -133,8 +133,16 @@ def _check_keys(batch: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"merge batch has a null or repeated key {list(keys)}: {bad[0].asDict()}")
 
 
+_PROP_BUCKETS = "stockroom.merge.buckets"
+_PROP_KEYS = "stockroom.merge.keys"
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
-                 buckets: int = DEFAULT_BUCKETS, order: Sequence | None = None,
+                 buckets: int | None = None, order: Sequence | None = None,
                  check: bool = True) -> None:
     """Upsert ``batch`` into ``table`` on ``keys``: matched rows replaced,
     new keys inserted, nothing deleted.
@@ -144,16 +152,31 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     win unconditionally (a recency guard for late or replayed data).
     ``check``: reject null keys (they never match) and keys repeated within
     the batch (the result would depend on row order).
+    ``buckets``: hash buckets of a new target (default 16; about target
+    size / 1 GB at scale). The count and the keys are stored as table
+    properties at creation and every later merge uses the stored count, so
+    bucket ids always agree.
     """
     keys = list(keys)
+    exists = table_exists(spark, table)
+    if exists:
+        props = _properties(spark, table)
+        if _PROP_BUCKETS not in props:
+            raise ValueError(f"{table} was not created by merge_by_key")
+        if props.get(_PROP_KEYS) != ",".join(keys):
+            raise ValueError(f"{table} is keyed on {props.get(_PROP_KEYS)}, not {keys}")
+        buckets = int(props[_PROP_BUCKETS])
+    buckets = buckets or DEFAULT_BUCKETS
     # The batch is computed once (parsing, dedup...) and cut from its lineage
     # in the shared checkpoint folder; checks and merge read that copy.
     ensure_checkpoint_dir(spark)
     staged = batch.withColumn(PART, bucket_of(keys, buckets)).checkpoint(eager=True)
     if check:
         _check_keys(staged, keys)
-    if not table_exists(spark, table):
+    if not exists:
         staged.write.format("parquet").partitionBy(PART).saveAsTable(table)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
+                  f"('{_PROP_BUCKETS}' = '{buckets}', '{_PROP_KEYS}' = '{','.join(keys)}')")
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)

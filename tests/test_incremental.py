@@ -96,6 +96,7 @@ def test_hwm_empty_existing_target_loads_everything(spark):
     write_full(data, raw)
     spark.sql(f"CREATE TABLE {t} (event_timestamp timestamp_ntz, inventory_id string, "
               f"removal_date_time string, creation_date_time string, _part int) "
-              f"USING parquet PARTITIONED BY (_part)")
+              f"USING parquet PARTITIONED BY (_part) "
+              f"TBLPROPERTIES ('stockroom.merge.buckets' = '16', 'stockroom.merge.keys' = 'inventory_id')")
     incremental.sdp_incremental_hwm(spark, spark.table(raw), t)
     assert sorted(r["inventory_id"] for r in read_table(spark, t).collect()) == ["A", "B"]

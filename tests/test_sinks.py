@@ -105,3 +105,14 @@ def test_merge_reads_only_touched_buckets(spark):
     assert got.count() == 200 and got.where("k = 'k1'").first()["v"] == 99
     files = spark.table(t).select(PART, F.input_file_name().alias("f")).distinct()
     assert files.where(F.col(PART) == b).count() >= 1
+
+
+def test_merge_uses_stored_bucket_count_and_keys(spark):
+    t = f"{scratch_database(spark)}.m"
+    data = [(f"k{i}", i, T(2024, 1, 1)) for i in range(50)]
+    merge_by_key(spark, t, _kv(spark, data), ["k"], buckets=8)
+    merge_by_key(spark, t, _kv(spark, [(f"k{i}", -i, T(2024, 1, 2)) for i in range(50)]), ["k"], buckets=3)
+    got = read_table(spark, t)
+    assert got.count() == 50 and got.where("v > 0").count() == 0
+    with pytest.raises(ValueError):
+        merge_by_key(spark, t, _kv(spark, data), ["v"])

@@ -27,7 +27,7 @@ from stockroom.operators.filters import (
 from stockroom.operators.latest import (
     dedup_redelivery, first_over_full_frame, latest_attributes, latest_per_key,
 )
-from stockroom.operators.spans import daily_stock, expand_days, validity_span
+from stockroom.operators.spans import expand_days, validity_span
 from stockroom.plans import demo, incremental, preview
 from stockroom.session import scratch_database, scratch_path
 from stockroom.sinks import tables as sinks
@@ -460,6 +460,23 @@ def q_backfill_daily(spark, sf):
     return sinks.read_table(spark, t)
 
 
+def q_demo_chain_tables(spark, sf):
+    """The demo chain materialized model by model; the daily stock table."""
+    from stockroom.plans.project import run_demo_chain
+    db = scratch_database(spark)
+    run_demo_chain(spark, db, _fx(spark, sf, "raw_demo"), _fx(spark, sf, "markets"),
+                   _fx(spark, sf, "vehicle_data"))
+    return sinks.read_table(spark, f"{db}.cdp_inventory_reporting_demo")
+
+
+def q_preview_chain_tables(spark, sf):
+    """The preview chain materialized; the daily stock table."""
+    from stockroom.plans.project import run_preview_chain
+    db = scratch_database(spark)
+    run_preview_chain(spark, db, _fx(spark, sf, "raw_preview"), AS_OF)
+    return sinks.read_table(spark, f"{db}.cdp_inventory_reporting_preview")
+
+
 # ------------------------------------------------------------------ incremental models
 
 def q_sdp_incremental_hwm(spark, sf):
@@ -597,6 +614,8 @@ QUERIES: dict[str, Query] = {
     "sdp_preview": q_sdp_preview,
     "cdp_preview": q_cdp_preview,
     "passthrough_copy": q_passthrough_copy,
+    "demo_chain_tables": q_demo_chain_tables,
+    "preview_chain_tables": q_preview_chain_tables,
     "sdp_incremental_hwm": q_sdp_incremental_hwm,
     "sdp_incremental_range": q_sdp_incremental_range,
     "sdp_incremental_key": q_sdp_incremental_key,

@@ -8,7 +8,6 @@ case in unit tests on a laptop, never on a configured cluster.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

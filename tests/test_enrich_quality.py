@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from stockroom.operators import (
     Audit, ContractError, DuplicateKeyError, audit_accepted_values, audit_not_null, audit_unique,

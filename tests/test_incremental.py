@@ -100,3 +100,17 @@ def test_hwm_empty_existing_target_loads_everything(spark):
               f"TBLPROPERTIES ('stockroom.merge.buckets' = '16', 'stockroom.merge.keys' = 'inventory_id')")
     incremental.sdp_incremental_hwm(spark, spark.table(raw), t)
     assert sorted(r["inventory_id"] for r in read_table(spark, t).collect()) == ["A", "B"]
+
+
+def test_demo_chain_audits_block_or_warn(spark):
+    import pytest
+    from stockroom.plans.project import AuditError, run_demo_chain
+    raw = fixtures.frame(spark, SF_SMALL, "raw_demo")
+    m, v = fixtures.frame(spark, SF_SMALL, "markets"), fixtures.frame(spark, SF_SMALL, "vehicle_data")
+    db = scratch_database(spark)
+    summary = {r["audit"]: r["violations"] for r in run_demo_chain(spark, db, raw, m, v).collect()}
+    assert summary["assert_vehicle_condition_not_null"] > 0 and summary["assert_unique_grain"] == 0
+    desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.agg_inventory_reporting_demo").collect()}
+    assert desc["Comment"].startswith("One row per vehicle")
+    with pytest.raises(AuditError):
+        run_demo_chain(spark, scratch_database(spark), raw, m, v, audits="error")

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from stockroom.operators.filters import above_mark
 from stockroom.plans import demo, preview

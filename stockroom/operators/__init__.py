@@ -9,7 +9,8 @@ from stockroom.operators.latest import (
 )
 from stockroom.operators.spans import validity_span, expand_days, daily_stock
 from stockroom.operators.enrich import (
-    left_join_dimension, left_join_entity, assert_unique, bounded_count, DuplicateKeyError,
+    left_join_dimension, left_join_entity, assert_unique, bounded_count, bounded_size,
+    DuplicateKeyError,
 )
 from stockroom.operators.quality import (
     Audit, ContractError, VEHICLE_AUDITS, audit_accepted_values, audit_not_null,

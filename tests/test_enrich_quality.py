@@ -24,6 +24,9 @@ def test_large_dimension_is_not_force_broadcast(spark):
     dim = spark.range(100).withColumnRenamed("id", "k")
     out = left_join_dimension(facts, dim, "k", max_broadcast_rows=10)
     assert out.count() == 10   # joined by shuffle (or by AQE from real sizes)
+    out = left_join_dimension(facts, dim, "k", max_broadcast_bytes=100)
+    assert out.count() == 10
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
 
 
 def test_contract_by_name_and_exact_type(spark):

@@ -2,7 +2,7 @@
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints one JSON line. Each query runs once to
-warm up, then ``$BENCH_RUNS`` (default 2) times; the best time is reported. Every query is executed in
+warm up, then ``$BENCH_RUNS`` (default 3) times; the best time is reported. Every query is executed in
 full through the ``noop`` sink (no collect to the driver); materializing
 queries (merge, range replace, streams) run their writes.
 """
@@ -66,8 +66,8 @@ BENCH = {
     "R3_get_json_object": QUERIES["sdp_demo_get_json"],      # vs sdp_demo (from_json)
     "R5_window_any_value": _agg_window_literal,              # vs agg_demo (max_by)
     "R5_first_value_join": QUERIES["agg_demo_window"],       # skew-safe full-frame values
-    "R6_sweep_cdp_demo": QUERIES["cdp_demo_sweep"],          # vs cdp_demo (explode)
-    "R6_sweep_cdp_preview": QUERIES["daily_stock"],          # vs cdp_preview (explode)
+    "R6_explode_cdp_demo": QUERIES["cdp_demo_explode"],      # vs cdp_demo (sweep)
+    "R6_explode_cdp_preview": QUERIES["cdp_preview_explode"],  # vs cdp_preview (sweep)
     "R7_explode_then_filter": _days_literal,                 # vs interval_filter_date (clamp)
     "R7_clamp_then_explode": QUERIES["interval_filter_date"],
     "IO9_full_refresh": _full_refresh_p4,                    # vs sdp_incremental_hwm
@@ -125,7 +125,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [a for a in sys.argv[1:] if a in BENCH]
     names = [n for n in BENCH if not only or n in only]
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     # Timings: one warm-up pass (class loading, codegen), then best of ``runs``.
     spark = _session(cpus)

@@ -229,6 +229,7 @@ def _q() -> dict[str, str]:
     q["cdp_demo"] = build(DEMO_AGG + [EXPLODED_DEMO], CDP_DEMO_FINAL)
     q["cdp_demo_sweep"] = q["cdp_demo"]
     q["demo_chain_tables"] = q["cdp_demo"]
+    q["cdp_demo_explode"] = q["cdp_demo"]
     q["sdp_preview"] = build(PREVIEW, "select * from sdp_preview")
     q["sdp_preview_max_by"] = q["sdp_preview"]
     q["passthrough_copy"] = q["sdp_preview"]
@@ -236,6 +237,7 @@ def _q() -> dict[str, str]:
     q["cdp_preview"] = build(PREVIEW_DAILY, daily("exploded"))
     q["daily_stock"] = q["cdp_preview"]
     q["preview_chain_tables"] = q["cdp_preview"]
+    q["cdp_preview_explode"] = q["cdp_preview"]
 
     q["sdp_incremental_hwm"] = build([PARSED_PREVIEW] + P6, "select * from p6")
     q["incremental_first_run"] = build([PARSED_PREVIEW, B1], "select * from (" + latest("b1") + ")")

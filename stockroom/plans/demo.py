@@ -121,10 +121,11 @@ def agg_demo(events: DataFrame, markets: DataFrame, vehicles: DataFrame,
     return j.select(*AGG_COLUMNS)
 
 
-def cdp_demo(spans: DataFrame, method: str = "explode") -> DataFrame:
+def cdp_demo(spans: DataFrame, method: str = "sweep") -> DataFrame:
     """Daily stock per ``(stock_date, *DIMENSIONS)`` with stock counts,
     conditional counts and stock days; a vehicle without span keeps one row
-    with a null day."""
+    with a null day. ``method="sweep"`` (default) shuffles two change rows
+    per vehicle; ``"explode"`` generates one row per vehicle and day."""
     measures = {
         "published_net_stock_count": F.lit(1),
         "net_stock_count": F.lit(1),

@@ -67,7 +67,7 @@ def sdp_incremental_key(spark: SparkSession, raw: DataFrame, table: str, start,
 
 
 def cdp_incremental_hwm(spark: SparkSession, snap: DataFrame, table: str, as_of,
-                        method: str = "explode") -> None:
+                        method: str = "sweep") -> None:
     """Daily stock for days ``>= max(stock_date)`` of the target (clamped
     before expansion), merged on the day. Earlier days are never revisited."""
     lo = high_water_mark(read_table(spark, table), "stock_date") \
@@ -77,7 +77,7 @@ def cdp_incremental_hwm(spark: SparkSession, snap: DataFrame, table: str, as_of,
 
 
 def cdp_incremental_range(spark: SparkSession, snap: DataFrame, table: str, start, end,
-                          as_of, method: str = "explode") -> None:
+                          as_of, method: str = "sweep") -> None:
     """Daily stock for the days ``start .. end`` (clamped before expansion),
     replacing exactly those days, including days that became empty."""
     daily = cdp_preview(snap, as_of, method=method, lo=start, hi=end, sort=False)

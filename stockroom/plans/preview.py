@@ -59,7 +59,7 @@ def snapshot_spans(snap: DataFrame, as_of, lenient: bool = False) -> DataFrame:
     return valid_spans(s, "span_start", "span_end", as_of)
 
 
-def cdp_preview(snap: DataFrame, as_of, method: str = "explode", lo=None, hi=None,
+def cdp_preview(snap: DataFrame, as_of, method: str = "sweep", lo=None, hi=None,
                 sort: bool = True) -> DataFrame:
     """Daily ``net_stock_count`` and ``stock_days`` (INT day differences
     summed to BIGINT); ``lo``/``hi`` restrict the days (clamped before

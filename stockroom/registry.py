@@ -123,6 +123,10 @@ def q_cdp_demo_sweep(spark, sf):
     return demo.cdp_demo(_p2(spark, sf), method="sweep")
 
 
+def q_cdp_demo_explode(spark, sf):
+    return demo.cdp_demo(_p2(spark, sf), method="explode")
+
+
 def q_sdp_preview(spark, sf):
     return _p4(spark, sf)
 
@@ -139,6 +143,10 @@ def q_daily_stock(spark, sf):
     return preview.cdp_preview(_p4(spark, sf), AS_OF, method="sweep")
 
 
+def q_cdp_preview_explode(spark, sf):
+    return preview.cdp_preview(_p4(spark, sf), AS_OF, method="explode")
+
+
 # ------------------------------------------------------------------ JSON, casts
 
 def q_json_extract(spark, sf):
@@ -625,6 +633,8 @@ QUERIES: dict[str, Query] = {
     "sdp_demo_get_json": q_sdp_demo_get_json,
     "agg_demo_window": q_agg_demo_window,
     "cdp_demo_sweep": q_cdp_demo_sweep,
+    "cdp_demo_explode": q_cdp_demo_explode,
+    "cdp_preview_explode": q_cdp_preview_explode,
     "sdp_preview_max_by": q_sdp_preview_max_by,
     "daily_stock": q_daily_stock,
     # sources, sinks, streams

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from stockroom.operators.filters import interval_predicate
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.quality import contract_violations
-from stockroom.session import ensure_checkpoint_dir
+from stockroom.session import ensure_checkpoint_dir, scratch_path
 
 PART = "_part"
 DEFAULT_BUCKETS = 16
@@ -105,16 +105,28 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _insert_dynamic(df: DataFrame, table: str, columns: Sequence[str]) -> None:
-    """Overwrite only the partitions present in ``df`` (``insertInto``
-    follows the session setting, so it is switched for this write only)."""
-    spark = df.sparkSession
-    before = spark.conf.get(_MODE_KEY, "static")
-    spark.conf.set(_MODE_KEY, "dynamic")
-    try:
-        df.select(*columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(_MODE_KEY, before)
+def _stage(df: DataFrame, name: str) -> str:
+    """Write ``df`` to a new parquet folder under the shared folder (cuts the
+    lineage; a failed table write is retried from here) and return it."""
+    path = scratch_path(df.sparkSession, f"stage-{name}")
+    df.write.parquet(path)
+    return path
+
+
+def _insert_dynamic(spark: SparkSession, staged_path: str, table: str,
+                    columns: Sequence[str]) -> None:
+    """Overwrite only the partitions present in the staged rows.
+
+    ``insertInto`` takes the overwrite mode from the session, so the write
+    runs in a child session (same catalog and context, own settings) whose
+    mode is dynamic: the caller's session settings are never changed, and
+    concurrent writers in that session are unaffected.
+    """
+    child = spark.newSession()
+    child.conf.set(_MODE_KEY, "dynamic")
+    (child.read.parquet(staged_path).select(*columns)
+          .write.mode("overwrite").insertInto(table))
+    spark.catalog.refreshTable(table)   # the caller's session caches file listings
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
@@ -189,13 +201,13 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
         new = kept.unionByName(staged)
     else:
         new = latest_per_key(old.unionByName(staged), [*keys], order)
-    # The new content of the touched buckets is written to the shared
-    # checkpoint folder first: Spark does not overwrite a table the same plan
-    # reads, and a failure while replacing the buckets can be retried from it.
+    # The new content of the touched buckets is staged in the shared folder
+    # first: Spark does not overwrite a table the same plan reads, and a
+    # failure while replacing the buckets can be retried from the staged copy.
     # Grouped by bucket first (keys are unique, so buckets are balanced by the
     # hash): each bucket is then written as one file, not one per task.
-    ensure_checkpoint_dir(spark)
-    _insert_dynamic(new.repartition(F.col(PART)).checkpoint(eager=True), table, target.columns)
+    staged_new = _stage(new.repartition(F.col(PART)), "merge")
+    _insert_dynamic(spark, staged_new, table, target.columns)
 
 
 def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_col: str,
@@ -211,12 +223,11 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
     # Computed once: the written rows and the set of days written agree even
-    # if the batch's inputs change meanwhile; lineage is cut at the
-    # session's shared checkpoint folder.
-    ensure_checkpoint_dir(spark)
-    staged = staged.checkpoint(eager=True)
-    written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
-    _insert_dynamic(staged, table, target.columns)
+    # if the batch's inputs change meanwhile; lineage is cut at the shared
+    # folder.
+    path = _stage(staged, "range")
+    written = {r[0] for r in spark.read.parquet(path).select(PART).distinct().collect()}  # <= days
+    _insert_dynamic(spark, path, table, target.columns)
     lo, hi = str(start)[:10], str(end)[:10]
     for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
         day = spec.split("=", 1)[1]

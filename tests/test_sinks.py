@@ -116,3 +116,13 @@ def test_merge_uses_stored_bucket_count_and_keys(spark):
     assert got.count() == 50 and got.where("v > 0").count() == 0
     with pytest.raises(ValueError):
         merge_by_key(spark, t, _kv(spark, data), ["v"])
+
+
+def test_session_settings_untouched_by_dynamic_writes(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    t = f"{scratch_database(spark)}.m"
+    merge_by_key(spark, t, _kv(spark, [("a", 1, T(2024, 1, 1))]), ["k"])
+    merge_by_key(spark, t, _kv(spark, [("a", 2, T(2024, 1, 1))]), ["k"])
+    assert spark.conf.get(key) == before
+    assert [r["v"] for r in read_table(spark, t).collect()] == [2]

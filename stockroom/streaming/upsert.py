@@ -19,6 +19,12 @@ from stockroom.operators.latest import latest_per_key
 from stockroom.sinks.tables import merge_by_key
 
 
+def any_null_keys_possible(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Latest-per-key output is unique on the keys; only nullable keys still
+    need the merge's null check."""
+    return any(df.schema[k].nullable for k in keys)
+
+
 def stream_upsert_latest(sdf: DataFrame, table: str, keys: Sequence[str], order: Sequence,
                          checkpoint: str,
                          transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -35,7 +41,8 @@ def stream_upsert_latest(sdf: DataFrame, table: str, keys: Sequence[str], order:
         if columns is not None:
             latest = latest.select(*columns)
         merge_by_key(batch.sparkSession, table, latest, keys,
-                     order=[o for o in order if o in latest.columns])
+                     order=[o for o in order if o in latest.columns],
+                     check=any_null_keys_possible(rows, keys))
 
     w = sdf.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w

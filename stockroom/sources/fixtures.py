@@ -9,6 +9,8 @@ inputs. Row counts grow with the driver tables.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.sources.tables import table_path
@@ -83,8 +85,23 @@ FIXTURES = {
 _BASE = ("events", "customer", "nation", "region", "orders")
 
 
-def spark_sql(name: str, sf_dir: str) -> str:
-    refs = {f"t_{t}": f"parquet.`{table_path(sf_dir, t)}`" for t in _BASE}
+def base_view(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A session temp view over a driver table, created once per session and
+    folder: the file listing and footer are resolved once, not at every
+    reference in every fixture."""
+    view = f"sr_{table}_{hashlib.sha1(sf_dir.encode()).hexdigest()[:10]}"
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(table_path(sf_dir, table)).createOrReplaceTempView(view)
+    return view
+
+
+def spark_sql(name: str, sf_dir: str, spark: SparkSession | None = None) -> str:
+    """The fixture's Spark SQL; table references are temp views when a
+    session is given, parquet paths otherwise."""
+    if spark is None:
+        refs = {f"t_{t}": f"parquet.`{table_path(sf_dir, t)}`" for t in _BASE}
+    else:
+        refs = {f"t_{t}": base_view(spark, sf_dir, t) for t in _BASE if f"{{t_{t}}}" in FIXTURES[name]}
     return FIXTURES[name].format(**_SPARK, **refs)
 
 
@@ -101,7 +118,7 @@ def duckdb_with(*names: str) -> str:
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named fixture as a Spark DataFrame over the driver tables."""
-    return spark.sql(spark_sql(name, sf_dir))
+    return spark.sql(spark_sql(name, sf_dir, spark))
 
 
 #: Pinned clock for the span models (``current_timestamp()`` in the models).

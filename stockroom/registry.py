@@ -32,8 +32,8 @@ from stockroom.plans import demo, incremental, preview
 from stockroom.session import scratch_database, scratch_path
 from stockroom.sinks import tables as sinks
 from stockroom.sources import fixtures
-from stockroom.sources.tables import KAFKA, load, source
-from stockroom.streaming.ingest import land_raw, read_stream, append_stream
+from stockroom.sources.tables import KAFKA, load, source, table_path
+from stockroom.streaming.ingest import append_stream, land_raw, read_stream
 from stockroom.streaming.upsert import stream_upsert_latest
 
 AS_OF = fixtures.AS_OF
@@ -376,7 +376,6 @@ def q_table_diff(spark, sf):
 # ------------------------------------------------------------------ sources and sinks
 
 def q_source_declared_schema(spark, sf):
-    from stockroom.sources.tables import table_path
     return source(spark, table_path(sf, "events"),
                   {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint",
                    "event_type": "string"})
@@ -572,7 +571,7 @@ def q_stream_land_raw(spark, sf):
     t, ckpt = f"{db}.raw_inventory_vehicles_preview", scratch_path(spark, "ckpt")
 
     def run():
-        src = read_stream(spark, "parquet", KAFKA_SCHEMA(), topic, maxFilesPerTrigger="2")
+        src = read_stream(spark, "parquet", _kafka_schema(), topic, maxFilesPerTrigger="2")
         q = append_stream(land_raw(src, processed_at=AS_OF), t, ckpt)
         q.awaitTermination()
 
@@ -594,7 +593,7 @@ def q_stream_upsert_latest(spark, sf):
         return preview.parse_preview(landed).withColumnRenamed("__value", "raw_hash")
 
     def run():
-        src = read_stream(spark, "parquet", KAFKA_SCHEMA(), topic, maxFilesPerTrigger="2")
+        src = read_stream(spark, "parquet", _kafka_schema(), topic, maxFilesPerTrigger="2")
         stream_upsert_latest(src, t, ["inventory_id"],
                              ["event_timestamp", "processed_at", "raw_hash"], ckpt,
                              transform=to_rows).awaitTermination()
@@ -607,9 +606,8 @@ def q_stream_upsert_latest(spark, sf):
     return sinks.read_table(spark, t).select(*preview.SNAPSHOT_COLUMNS)
 
 
-def KAFKA_SCHEMA():
-    from stockroom.operators.quality import contract_schema
-    return contract_schema(KAFKA)
+def _kafka_schema():
+    return quality.contract_schema(KAFKA)
 
 
 # ------------------------------------------------------------------ registry

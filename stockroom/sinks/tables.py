@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from stockroom.operators.filters import interval_predicate
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.quality import contract_violations
-from stockroom.session import ensure_checkpoint_dir, scratch_path
+from stockroom.session import shared_dir
 
 PART = "_part"
 DEFAULT_BUCKETS = 16
@@ -105,15 +105,17 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _stage(df: DataFrame, name: str) -> str:
-    """Write ``df`` to a new parquet folder under the shared folder (cuts the
-    lineage; a failed table write is retried from here) and return it."""
-    path = scratch_path(df.sparkSession, f"stage-{name}")
-    df.write.parquet(path)
-    return path
+def _stage(df: DataFrame, table: str, kind: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the target's staging folder in the shared folder and
+    read it back: the lineage is cut there, a failed table write is retried
+    from it, and the next run of the same target overwrites it (staging
+    space stays bounded: one copy per kind and target)."""
+    path = f"{shared_dir(df.sparkSession)}/stockroom/stage/{table}/{kind}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _insert_dynamic(spark: SparkSession, staged_path: str, table: str,
+def _insert_dynamic(spark: SparkSession, staged_path: str, schema: T.StructType, table: str,
                     columns: Sequence[str]) -> None:
     """Overwrite only the partitions present in the staged rows.
 
@@ -124,7 +126,7 @@ def _insert_dynamic(spark: SparkSession, staged_path: str, table: str,
     """
     child = spark.newSession()
     child.conf.set(_MODE_KEY, "dynamic")
-    (child.read.parquet(staged_path).select(*columns)
+    (child.read.schema(schema).parquet(staged_path).select(*columns)
           .write.mode("overwrite").insertInto(table))
     spark.catalog.refreshTable(table)   # the caller's session caches file listings
 
@@ -179,10 +181,9 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
             raise ValueError(f"{table} is keyed on {props.get(_PROP_KEYS)}, not {keys}")
         buckets = int(props[_PROP_BUCKETS])
     buckets = buckets or DEFAULT_BUCKETS
-    # The batch is computed once (parsing, dedup...) and cut from its lineage
-    # in the shared checkpoint folder; checks and merge read that copy.
-    ensure_checkpoint_dir(spark)
-    staged = batch.withColumn(PART, bucket_of(keys, buckets)).checkpoint(eager=True)
+    # The batch is computed once (parsing, dedup...) and staged in the shared
+    # folder; checks and merge read that copy.
+    staged, _ = _stage(batch.withColumn(PART, bucket_of(keys, buckets)), table, "batch")
     if check:
         _check_keys(staged, keys)
     if not exists:
@@ -206,8 +207,8 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     # failure while replacing the buckets can be retried from the staged copy.
     # Grouped by bucket first (keys are unique, so buckets are balanced by the
     # hash): each bucket is then written as one file, not one per task.
-    staged_new = _stage(new.repartition(F.col(PART)), "merge")
-    _insert_dynamic(spark, staged_new, table, target.columns)
+    merged, path = _stage(new.repartition(F.col(PART)), table, "merge")
+    _insert_dynamic(spark, path, merged.schema, table, target.columns)
 
 
 def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_col: str,
@@ -225,9 +226,9 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
     # Computed once: the written rows and the set of days written agree even
     # if the batch's inputs change meanwhile; lineage is cut at the shared
     # folder.
-    path = _stage(staged, "range")
-    written = {r[0] for r in spark.read.parquet(path).select(PART).distinct().collect()}  # <= days
-    _insert_dynamic(spark, path, table, target.columns)
+    staged, path = _stage(staged, table, "range")
+    written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
+    _insert_dynamic(spark, path, staged.schema, table, target.columns)
     lo, hi = str(start)[:10], str(end)[:10]
     for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
         day = spec.split("=", 1)[1]

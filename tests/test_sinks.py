@@ -126,3 +126,15 @@ def test_session_settings_untouched_by_dynamic_writes(spark):
     merge_by_key(spark, t, _kv(spark, [("a", 2, T(2024, 1, 1))]), ["k"])
     assert spark.conf.get(key) == before
     assert [r["v"] for r in read_table(spark, t).collect()] == [2]
+
+
+def test_staging_space_is_bounded_per_target(spark):
+    import os
+    from stockroom.session import shared_dir
+    t = f"{scratch_database(spark)}.m"
+    for i in range(3):
+        merge_by_key(spark, t, _kv(spark, [(f"k{j}", i, T(2024, 1, 1)) for j in range(5)]), ["k"])
+    root = shared_dir(spark).replace("file:", "")
+    stage = os.path.join(root, "stockroom", "stage", t)
+    assert sorted(os.listdir(stage)) == ["batch", "merge"]
+    assert {r["v"] for r in read_table(spark, t).collect()} == {2}

@@ -36,6 +36,32 @@ def to_ts(col, lenient: bool = False) -> Column:
     return _cast(col, "timestamp_ntz", lenient)
 
 
+def ntz_lit(value) -> Column:
+    """A zone-free ``timestamp_ntz`` literal from a datetime/date/ISO text.
+
+    Built from text: a naive Python datetime passed to ``F.lit`` is read in
+    the Python process's local zone and then cast in the session zone, which
+    shifts it whenever the two differ.
+    """
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def typed_lit(value) -> Column:
+    """Literal for a comparison: datetimes become ``timestamp_ntz`` (zone
+    free), everything else (dates, numbers, text) a plain literal."""
+    if isinstance(value, _dt.datetime):
+        return ntz_lit(value)
+    return F.lit(value)
+
+
 def decode(col) -> Column:
     """Bytes -> UTF-8 string (Kafka key/value)."""
     return _c(col).cast("string")
@@ -54,11 +80,7 @@ def default_if_null(col, value) -> Column:
 def pad_open_end(col, as_of) -> Column:
     """An open span (null end) runs to ``as_of`` (ISO text, a datetime or a
     Column)."""
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    if isinstance(as_of, (_dt.datetime, _dt.date)):
-        as_of = F.lit(as_of).cast("timestamp_ntz")
-    return F.coalesce(_c(col), as_of)
+    return F.coalesce(_c(col), ntz_lit(as_of))
 
 
 def flag_to_int(col) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.casts import pad_open_end
+from stockroom.functions.casts import ntz_lit, pad_open_end, typed_lit
 
 
 def _c(col) -> Column:
@@ -27,13 +27,9 @@ def valid_spans(df: DataFrame, start, end, as_of) -> DataFrame:
 
 
 def _lit_ts(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        v = _dt.datetime.fromisoformat(v)
-    elif isinstance(v, _dt.date) and not isinstance(v, _dt.datetime):
-        v = _dt.datetime(v.year, v.month, v.day)
-    return F.lit(v).cast("timestamp_ntz")
+    if isinstance(v, str) and len(v) == 10:
+        v = _dt.date.fromisoformat(v)
+    return ntz_lit(v)
 
 
 def _lit_date(v) -> Column:
@@ -80,7 +76,7 @@ def above_mark(df: DataFrame, col: str, mark, inclusive: bool = False) -> DataFr
     if mark is None:
         return df
     c = F.col(col)
-    return df.where(c >= F.lit(mark) if inclusive else c > F.lit(mark))
+    return df.where(c >= typed_lit(mark) if inclusive else c > typed_lit(mark))
 
 
 def not_accepted(col, values: Iterable) -> Column:

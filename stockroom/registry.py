@@ -16,7 +16,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.functions.casts import default_if_null, flag_to_int, pad_open_end, to_bool, to_date, to_ts
+from stockroom.functions.casts import (
+    default_if_null, flag_to_int, ntz_lit, pad_open_end, to_bool, to_date, to_ts,
+)
 from stockroom.functions.dates import day_array, days_between
 from stockroom.functions.json import json_fields
 from stockroom.operators import quality
@@ -54,7 +56,7 @@ def _fx(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def _early(raw: DataFrame):
     idc = F.get_json_object(F.col("value"), "$.vehicleSnapshot.id")
-    return (F.col("timestamp") < F.lit(_dt.datetime.fromisoformat(CUT))) & \
+    return (F.col("timestamp") < ntz_lit(CUT + " 00:00:00")) & \
         ~F.coalesce(idc.like(LATE_ID_SUFFIX), F.lit(False))
 
 
@@ -415,7 +417,7 @@ def q_merge_by_key(spark, sf):
     db = scratch_database(spark)
     t = f"{db}.latest_event"
     ev = load(spark, sf, "events")
-    first = latest_per_key(ev.where(F.col("ts") < F.lit(_dt.datetime(2024, 1, 15))),
+    first = latest_per_key(ev.where(F.col("ts") < ntz_lit("2024-01-15 00:00:00")),
                            ["user_id"], ["ts", "event_id"])
     batch = latest_per_key(ev.where(F.col("event_type") == "purchase"), ["user_id"],
                            ["ts", "event_id"])

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from stockroom.functions.casts import ntz_lit
+
 RAW_COLUMNS = ["key", "topic", "timestamp", "value", "processed_at"]
 
 
@@ -64,9 +66,7 @@ def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = N
     elif isinstance(processed_at, Column):
         stamp = processed_at
     else:
-        if isinstance(processed_at, str):
-            processed_at = _dt.datetime.fromisoformat(processed_at)
-        stamp = F.lit(processed_at).cast("timestamp_ntz")
+        stamp = ntz_lit(processed_at)
     return df.select(F.col("key").cast("string").alias("key"),
                      F.col("topic").cast("string").alias("topic"),
                      F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),

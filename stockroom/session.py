@@ -43,34 +43,55 @@ def get_spark(master: str | None = None, app: str = "stockroom",
     return spark
 
 
+_FALLBACK: dict[int, str] = {}
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no local context
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Root folder for durable work data, read from ``spark.checkpoint.dir``.
+    """Root folder for durable work data.
 
-    Only when the session has no such setting (tests) a fresh local folder is
-    created and registered as the checkpoint dir.
+    In order: the ``spark.checkpoint.dir`` setting; the folder set with
+    ``SparkContext.setCheckpointDir``; only when neither exists (tests on a
+    laptop) a fresh local folder, which is then also registered as the
+    context's checkpoint folder.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="stockroom-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
-        ensure_checkpoint_dir(spark)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    sc = _context(spark)
+    key = id(sc)
+    if key in _FALLBACK:
+        return _FALLBACK[key]
+    current = sc.getCheckpointDir() if sc is not None else None
+    if current:
+        return current.rstrip("/").rsplit("/", 1)[0]   # <dir>/<application uuid>
+    if key not in _FALLBACK:
+        _FALLBACK[key] = tempfile.mkdtemp(prefix="stockroom-")
+        if sc is not None:
+            sc.setCheckpointDir(f"{_FALLBACK[key]}/rdd")
+    return _FALLBACK[key]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` write under the shared folder (a
     remote Spark Connect session has no local context; its server's own
     checkpoint setting applies)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect
+    sc = _context(spark)
+    if sc is None:
         return spark.conf.get(_CHECKPOINT_KEY, "")
     current = sc.getCheckpointDir()
     if current:
         return current
     d = f"{shared_dir(spark)}/rdd"
-    sc.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

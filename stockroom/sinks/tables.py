@@ -230,10 +230,14 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
     written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
     _insert_dynamic(spark, path, staged.schema, table, target.columns)
     lo, hi = str(start)[:10], str(end)[:10]
-    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+    kept = {str(d) for d in written}
+    stale = []
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():   # catalog metadata
         day = spec.split("=", 1)[1]
-        if lo <= day <= hi and day not in {str(d) for d in written}:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PART} = DATE'{day}')")
+        if lo <= day <= hi and day not in kept:
+            stale.append(f"PARTITION ({PART} = DATE'{day}')")
+    if stale:   # one catalog operation for all days of the range that became empty
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(stale)}")
 
 
 def incremental_or_full(spark: SparkSession, table: str,

@@ -58,10 +58,21 @@ def interval_predicate(col, start, end, unit: str = "timestamp") -> Column:
     return (c >= lo) & (c < hi)
 
 
-def in_interval(df: DataFrame, col, start, end, unit: str = "timestamp") -> DataFrame:
+#: Day partition column of a raw landing table (``to_date(timestamp)``).
+DAY_COLUMN = "event_date"
+
+
+def in_interval(df: DataFrame, col, start, end, unit: str = "timestamp",
+                day_col: str | None = DAY_COLUMN) -> DataFrame:
     """Filter to an interval (see :func:`interval_predicate`); literal bounds
-    let the predicate reach the parquet scan."""
-    return df.where(interval_predicate(col, start, end, unit))
+    let the predicate reach the parquet scan. When ``df`` carries the day
+    partition column ``day_col`` (= day of ``col``), the implied day range
+    is added too, so whole partitions are pruned (Catalyst does not derive
+    it from the timestamp predicate)."""
+    out = df.where(interval_predicate(col, start, end, unit))
+    if day_col and day_col in df.columns and unit == "timestamp":
+        out = out.where(F.col(day_col).between(_lit_date(start), _lit_date(end)))
+    return out
 
 
 def high_water_mark(target: DataFrame, col: str):
@@ -70,13 +81,19 @@ def high_water_mark(target: DataFrame, col: str):
     return target.agg(F.max(col).alias("m")).first()["m"]
 
 
-def above_mark(df: DataFrame, col: str, mark, inclusive: bool = False) -> DataFrame:
+def above_mark(df: DataFrame, col: str, mark, inclusive: bool = False,
+               day_col: str | None = DAY_COLUMN) -> DataFrame:
     """``col > mark`` (or ``>=``). The mark is a literal so the comparison is
-    pushed to the scan. A null mark (empty target) keeps every row."""
+    pushed to the scan; with the day partition column ``day_col`` present,
+    ``day_col >= day(mark)`` is added so older partitions are never listed
+    or read. A null mark (empty target) keeps every row."""
     if mark is None:
         return df
     c = F.col(col)
-    return df.where(c >= typed_lit(mark) if inclusive else c > typed_lit(mark))
+    out = df.where(c >= typed_lit(mark) if inclusive else c > typed_lit(mark))
+    if day_col and day_col in df.columns and isinstance(mark, _dt.datetime):
+        out = out.where(F.col(day_col) >= F.lit(mark.date()))
+    return out
 
 
 def not_accepted(col, values: Iterable) -> Column:

@@ -35,7 +35,7 @@ from stockroom.session import scratch_database, scratch_path
 from stockroom.sinks import tables as sinks
 from stockroom.sources import fixtures
 from stockroom.sources.tables import KAFKA, load, source, table_path
-from stockroom.streaming.ingest import append_stream, land_raw, read_stream
+from stockroom.streaming.ingest import append_stream, land_raw, read_stream, with_event_date
 from stockroom.streaming.upsert import stream_upsert_latest
 
 AS_OF = fixtures.AS_OF
@@ -66,14 +66,15 @@ def _batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _raw_table(spark: SparkSession, db: str, first: DataFrame) -> str:
-    """A raw landing table in ``db`` holding ``first``; later batches append."""
+    """A raw landing table in ``db`` holding ``first``, partitioned by event
+    day (time filters prune whole days); later batches append."""
     t = f"{db}.raw_inventory_vehicles_preview"
-    sinks.write_full(first, t)
+    sinks.write_full(with_event_date(first), t, partition_by=["event_date"])
     return t
 
 
 def _append(df: DataFrame, table: str) -> None:
-    df.write.mode("append").insertInto(table)
+    with_event_date(df).write.mode("append").insertInto(table)
 
 
 def _p1(spark, sf):

@@ -52,6 +52,12 @@ def read_stream(spark: SparkSession, fmt: str, schema: T.StructType | None = Non
     return r.load(path) if path else r.load()
 
 
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Add the raw table's day partition column ``event_date = day(timestamp)``."""
+    from stockroom.operators.filters import DAY_COLUMN
+    return df.withColumn(DAY_COLUMN, F.to_date("timestamp"))
+
+
 def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = None) -> DataFrame:
     """Keep key/topic/timestamp/value, decode bytes to text, stamp
     ``processed_at`` (the processing time by default). Works on batch and
@@ -75,12 +81,16 @@ def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = N
 
 
 def append_stream(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet",
-                  available_now: bool = True, options: Mapping[str, str] | None = None
-                  ) -> StreamingQuery:
+                  available_now: bool = True, options: Mapping[str, str] | None = None,
+                  partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Append a stream into a catalog table with a checkpoint (exactly-once
-    file sink). ``available_now``: process what is there, then stop."""
+    file sink). ``available_now``: process what is there, then stop.
+    ``partition_by``: e.g. ``("event_date",)`` after :func:`with_event_date`,
+    so later time filters prune whole days."""
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).options(**(options or {})))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w = w.trigger(availableNow=True) if available_now else w
     return w.toTable(table)
 
@@ -90,4 +100,5 @@ def ingest(spark: SparkSession, source_fmt: str, table: str, checkpoint: str,
            processed_at=None, **options) -> StreamingQuery:
     """Source stream -> raw projection -> append sink."""
     src = read_stream(spark, source_fmt, schema, path, **options)
-    return append_stream(land_raw(src, processed_at), table, checkpoint)
+    return append_stream(with_event_date(land_raw(src, processed_at)), table, checkpoint,
+                         partition_by=("event_date",))

@@ -59,3 +59,21 @@ def test_interval_predicate_on_events_pushed(spark):
     from stockroom.operators.filters import in_interval
     p = _plan(in_interval(ev, "ts", "2024-01-18", "2024-01-25"))
     assert "GreaterThanOrEqual(ts" in p and "LessThan(ts" in p
+
+
+def test_day_partitions_pruned_by_mark_and_interval(spark):
+    from stockroom.operators.filters import in_interval
+    from stockroom.streaming.ingest import with_event_date
+    db = scratch_database(spark)
+    t = f"{db}.raw"
+    write_full(with_event_date(fixtures.frame(spark, SF_SMALL, "raw_preview")), t,
+               partition_by=["event_date"])
+    marked = above_mark(spark.table(t), "timestamp", dt.datetime(2024, 1, 20, 5))
+    p = _plan(marked)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "2024-01-20" in p
+    ranged = _plan(in_interval(spark.table(t), "timestamp", "2024-01-18", "2024-01-19"))
+    assert "PartitionFilters: [isnotnull(event_date" in ranged
+    # Same rows as on the unpartitioned data.
+    raw = fixtures.frame(spark, SF_SMALL, "raw_preview")
+    a = above_mark(raw, "timestamp", dt.datetime(2024, 1, 20, 5)).count()
+    assert marked.count() == a

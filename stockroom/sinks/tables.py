@@ -24,6 +24,7 @@ re-running the same interval/batch gives the same end state.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -187,9 +188,15 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     if check:
         _check_keys(staged, keys)
     if not exists:
-        staged.write.format("parquet").partitionBy(PART).saveAsTable(table)
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
-                  f"('{_PROP_BUCKETS}' = '{buckets}', '{_PROP_KEYS}' = '{','.join(keys)}')")
+        # One statement creates the table with its bucket properties.
+        view = f"__stockroom_stage_{uuid.uuid4().hex[:12]}"
+        staged.createOrReplaceTempView(view)
+        try:
+            spark.sql(f"CREATE TABLE {table} USING parquet PARTITIONED BY ({PART}) "
+                      f"TBLPROPERTIES ('{_PROP_BUCKETS}' = '{buckets}', "
+                      f"'{_PROP_KEYS}' = '{','.join(keys)}') AS SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)

@@ -69,12 +69,19 @@ def _raw_table(spark: SparkSession, db: str, first: DataFrame) -> str:
     """A raw landing table in ``db`` holding ``first``, partitioned by event
     day (time filters prune whole days); later batches append."""
     t = f"{db}.raw_inventory_vehicles_preview"
-    sinks.write_full(with_event_date(first), t, partition_by=["event_date"])
+    sinks.write_full(_by_day(with_event_date(first)), t, partition_by=["event_date"])
     return t
 
 
+def _by_day(df: DataFrame) -> DataFrame:
+    """Rows of a day together before a day-partitioned write (one file per day
+    and writer group instead of one per task and day); the hash salt keeps a
+    large day spread over several writers."""
+    return df.repartition(F.col("event_date"), F.pmod(F.xxhash64("key"), F.lit(4)))
+
+
 def _append(df: DataFrame, table: str) -> None:
-    with_event_date(df).write.mode("append").insertInto(table)
+    _by_day(with_event_date(df)).write.mode("append").insertInto(table)
 
 
 def _p1(spark, sf):

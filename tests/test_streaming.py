@@ -69,3 +69,21 @@ def test_land_raw_types_match_declared_raw_schema(spark):
     opts = kafka_options("broker:9092", "topic", "user", "secret")
     assert opts["startingOffsets"] == "earliest" and opts["kafka.security.protocol"] == "SASL_SSL"
     assert "includeHeaders" in opts and "subscribe" in opts
+
+
+def test_ingest_lands_day_partitioned_table(spark):
+    from stockroom.streaming.ingest import ingest
+    raw, kafka = _kafka_files(spark)
+    topic, ckpt = scratch_path(spark, "topic"), scratch_path(spark, "ckpt")
+    t = f"{scratch_database(spark)}.raw"
+    kafka.write.mode("append").parquet(topic)
+    ingest(spark, "parquet", t, ckpt, schema=contract_schema(KAFKA), path=topic,
+           processed_at="2024-02-01 00:00:00").awaitTermination()
+    landed = spark.table(t)
+    assert "event_date" in landed.columns
+    assert landed.where(F.col("event_date") != F.to_date("timestamp")).count() == 0
+    assert rows(landed.drop("event_date")) == rows(land_raw(kafka, processed_at="2024-02-01 00:00:00"))
+    # The stream sink tracks files in its own log (not catalog partitions):
+    # check the physical layout instead.
+    files = landed.inputFiles()
+    assert files and all("/event_date=" in f for f in files)

@@ -38,6 +38,24 @@ def place(sizes: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
+def level(sizes: np.ndarray, out: np.ndarray, shards: int, dim: int = 0, moves: int = 20_000) -> np.ndarray:
+    """Even out one dimension after placing: move the bundle nearest to half
+    the gap from the fullest to the emptiest shard while that helps."""
+    s, out = sizes[:, dim], out.copy()
+    load = np.bincount(out, weights=s, minlength=shards)
+    for _ in range(moves):
+        hi, lo = int(np.argmax(load)), int(np.argmin(load))
+        gap = load[hi] - load[lo]
+        mine = np.flatnonzero((out == hi) & (s > 0) & (s < gap))
+        if not len(mine):
+            break
+        i = mine[np.argmin(np.abs(s[mine] - gap / 2))]
+        out[i] = lo
+        load[hi] -= s[i]
+        load[lo] += s[i]
+    return out
+
+
 def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Columns doc_id, size, text_crc32, tokens, bundle, shard, slot."""
     ensure_checkpoint_dir(spark)
@@ -65,7 +83,8 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS)
             .withColumn("bundle", F.pmod(base + piece, F.lit(n_bundles)).cast("int")))
     sized = rows.groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"),
                                        F.count("*").alias("n")).collect()   # n_bundles rows at most
-    shard_of = place(np.array([[r.b, r.t, r.n] for r in sized], float).reshape(-1, 3), shards)
+    sizes = np.array([[r.b, r.t, r.n] for r in sized], float).reshape(-1, 3)
+    shard_of = level(sizes, place(sizes, shards), shards)
     first: dict[int, int] = {}
     plan = []
     for r, s in zip(sized, shard_of.tolist()):

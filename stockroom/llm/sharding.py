@@ -65,7 +65,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS)
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.coalesce(F.size(F.split(F.trim(text), r"[\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("tokens"),
-        F.md5(text.cast("binary")).alias("g"))
+        F.coalesce(F.md5(text.cast("binary")), F.lit("")).alias("g"))
     # The columns kept are a few dozen bytes a document; the texts are read once.
     rows = rows.checkpoint()
     n_bundles = shards * BUNDLES_PER_SHARD
@@ -74,12 +74,12 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS)
     limits = [max(1.0, (x or 0) / n_bundles) for x in totals]
     # At most 3 * n_bundles groups exceed a bundle in some dimension.
     hot = (groups.where((F.col("gb") > limits[0]) | (F.col("gt") > limits[1]) | (F.col("gn") > limits[2]))
-           .select("g", F.ceil(F.greatest(F.col("gb") / limits[0], F.col("gt") / limits[1],
+           .select(F.col("g").alias("hot_g"), F.ceil(F.greatest(F.col("gb") / limits[0], F.col("gt") / limits[1],
                                           F.col("gn") / limits[2])).cast("long").alias("pieces")))
-    base = F.pmod(F.xxhash64(F.coalesce("g", F.lit(""))), F.lit(n_bundles))
+    base = F.pmod(F.xxhash64("g"), F.lit(n_bundles))
     piece = F.when(F.col("pieces").isNotNull(),
                    F.pmod(F.xxhash64("doc_id", "size"), F.col("pieces"))).otherwise(F.lit(0))
-    rows = (rows.join(F.broadcast(hot), rows["g"].eqNullSafe(hot["g"]), "left").drop(hot["g"])
+    rows = (rows.join(F.broadcast(hot), F.col("g") == F.col("hot_g"), "left")
             .withColumn("bundle", F.pmod(base + piece, F.lit(n_bundles)).cast("int")))
     sized = rows.groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"),
                                        F.count("*").alias("n")).collect()   # n_bundles rows at most

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from stockroom.llm.bpe import op1_bpe
+from stockroom.llm.html_extract import op6_html
+from stockroom.llm.packing import op5_packing
+from stockroom.llm.quality_rules import op7_quality_rules
 from stockroom.llm.sharding import op10_sharding
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op5_packing": op5_packing,
+    "op6_html": op6_html,
+    "op7_quality_rules": op7_quality_rules,
     "op10_sharding": op10_sharding,
 }
 

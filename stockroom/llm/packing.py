@@ -16,7 +16,9 @@ thousand.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -32,9 +34,17 @@ CAPACITY, REGION_ITEMS, ISLANDS, EPOCHS = 2048, 4096, 3, 2
 POPULATION, GENERATIONS = 4, 4
 
 
+#: Runs of these letters and signs alone are their own NFC form, and their
+#: lower case goes letter by letter.
+PLAIN = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: The tokenizer's own pre-tokenisation for such lower-case runs (fixed pattern).
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xe0-\xf6\xf8-\xff\xdf]+|[0-9]|[^a-z\xe0-\xf6\xf8-\xff\xdf0-9]+")
+
+
 class WordTokenizer:
-    """The library's ids, remembered per run between ASCII white space: the
-    tokenizer drops white space and no token of it crosses any."""
+    """The library's ids, remembered per run between ASCII white space (the
+    tokenizer drops white space and no token of it crosses any) and, for plain
+    runs, per word, so that runs that differ in signs and case share them."""
 
     def __init__(self, path: str, cache_size: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,8 +53,32 @@ class WordTokenizer:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.cache: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.cache_size = cache_size
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, runs: list[bytes]) -> None:
+        plain, odd, split = [], [], []
+        for r in runs:
+            t = r.decode()
+            if PLAIN.fullmatch(t) and "<|" not in t:
+                plain.append(r)
+                split.append(WORD.findall(t.lower()))
+            else:
+                odd.append(r)
+        words = self.words
+        new = [w for w in set().union(*split) if w not in words]
+        if len(words) + len(new) > 1.5 * self.cache_size:
+            words.clear()
+            new = list(set().union(*split))
+        words.update(zip(new, self._ids(new)))
+        cache = self.cache
+        for r, ws in zip(plain, split):
+            cache[r] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+        cache.update(zip(odd, self._ids([r.decode() for r in odd])))
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         runs = [t.encode().split() if t else [] for t in texts]
         seen = set().union(*runs)
@@ -52,10 +86,8 @@ class WordTokenizer:
         if len(self.cache) + len(new) > self.cache_size:
             self.cache.clear()
             new = list(seen)
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for r, e in zip(part, self.lib.encode_batch([r.decode() for r in part], add_special_tokens=False)):
-                self.cache[r] = np.array(e.ids, "<u4").tobytes()
+        for i in range(0, len(new), 50_000):
+            self._learn(new[i:i + 50_000])
         get = self.cache.__getitem__
         return [b"".join(map(get, r)) for r in runs]
 

@@ -5,14 +5,18 @@ from __future__ import annotations
 from stockroom.llm.bpe import op1_bpe
 from stockroom.llm.html_extract import op6_html
 from stockroom.llm.packing import op5_packing
+from stockroom.llm.quality_fm import op3_quality_fm
 from stockroom.llm.quality_rules import op7_quality_rules
 from stockroom.llm.sharding import op10_sharding
+from stockroom.llm.topk import op9_topk
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_quality_fm": op3_quality_fm,
     "op5_packing": op5_packing,
     "op6_html": op6_html,
     "op7_quality_rules": op7_quality_rules,
+    "op9_topk": op9_topk,
     "op10_sharding": op10_sharding,
 }
 

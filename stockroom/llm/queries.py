@@ -8,11 +8,15 @@ from stockroom.llm.packing import op5_packing
 from stockroom.llm.quality_fm import op3_quality_fm
 from stockroom.llm.quality_rules import op7_quality_rules
 from stockroom.llm.sharding import op10_sharding
+from stockroom.llm.substring_dedup import op4_substring_dedup
+from stockroom.llm.suffix_dedup import op2_suffix_dedup
 from stockroom.llm.topk import op9_topk
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_fm": op3_quality_fm,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_html": op6_html,
     "op7_quality_rules": op7_quality_rules,

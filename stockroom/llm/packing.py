@@ -46,7 +46,7 @@ class WordTokenizer:
     tokenizer drops white space and no token of it crosses any) and, for plain
     runs, per word, so that runs that differ in signs and case share them."""
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, cache_size: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
@@ -70,7 +70,7 @@ class WordTokenizer:
                 odd.append(r)
         words = self.words
         new = [w for w in set().union(*split) if w not in words]
-        if len(words) + len(new) > 1.5 * self.cache_size:
+        if len(words) + len(new) > self.cache_size:
             words.clear()
             new = list(set().union(*split))
         words.update(zip(new, self._ids(new)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stockroom.llm.bpe import op1_bpe
+from stockroom.llm.chosen_path import op8_jaccard_join
 from stockroom.llm.html_extract import op6_html
 from stockroom.llm.packing import op5_packing
 from stockroom.llm.quality_fm import op3_quality_fm
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_html": op6_html,
     "op7_quality_rules": op7_quality_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_topk": op9_topk,
     "op10_sharding": op10_sharding,
 }

@@ -150,12 +150,12 @@ def _with_marks(run):
     per slice (documents without marks are passed over)."""
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = column(batch, "marks")
+            marks = column(batch, "marks__")
             touched = np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False))
             if not len(touched):
                 continue
             batch = batch.take(pa.array(touched))
-            marks = column(batch, "marks")
+            marks = column(batch, "marks__")
             ids = longs(batch, "doc_id")
             data, offsets = string_bytes(column(batch, "text"))
             counts = marks.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -249,17 +249,18 @@ def _removed(n_words: int, marks) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents dealt by doc_id (doc_id, text) and, per document with any,
-    ``marks``: runs of windows that also start in a smaller document."""
+def repeated_windows(docs: DataFrame, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents dealt by doc_id (text and ``names``), and the same with
+    ``marks__`` and ``more__``: runs of windows that also start in a smaller
+    document."""
     spark = docs.sparkSession
     nb = bucket_count(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(*(names or ["doc_id"]), "text")
     # The texts are shuffled once: the three joins by doc_id reuse it.
     held = docs.repartition("doc_id")
 
     def gather(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("doc_id").agg(F.collect_list("mark").alias("marks"))
+        return rows.groupBy("doc_id").agg(F.collect_list("mark").alias("marks__"))
 
     def level(blobs: DataFrame, run) -> DataFrame:
         return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ROWS)
@@ -267,7 +268,7 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = gather(level(docs.where("doc_id is not null").mapInArrow(_scan(nb), BLOB), _first_level))
     middle = gather(level(held.join(first, "doc_id", "left").mapInArrow(_middle_scan(nb), BLOB), _middle_level))
     last = gather(level(held.join(middle, "doc_id", "left").mapInArrow(_last_scan(nb), BLOB), _last_level))
-    found = held.join(first, "doc_id", "left").join(last.withColumnRenamed("marks", "more"), "doc_id", "left")
+    found = held.join(first, "doc_id", "left").join(last.withColumnRenamed("marks__", "more__"), "doc_id", "left")
     return held, found
 
 
@@ -277,7 +278,7 @@ def _apply(make):
         for batch in batches:
             rows = []
             cols = [column(batch, c).to_pylist() for c in ("doc_id", "text")]
-            marks = [column(batch, c) for c in ("marks", "more")]
+            marks = [column(batch, c) for c in ("marks__", "more__")]
             for k, (d, t) in enumerate(zip(*cols)):
                 words = t.encode().split() if t else []
                 both = [m[k].values.to_numpy(zero_copy_only=False) for m in marks if m[k].is_valid]
@@ -297,27 +298,34 @@ _digest.schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n
                             ("kept_sha256", pa.string())])
 
 
-def _rest(d, words, removed):
-    text = None
-    if removed is not None and removed.any():
-        text = b" ".join(compress(words, (~removed).tolist())).decode()
-    return {"doc_id": d, "kept_text": text}
-
-
-_rest.schema = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.string())])
-
-
 def window_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     _, found = repeated_windows(docs)
     return found.mapInArrow(_apply(_digest), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def kept_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, kept_text: words left, joined by one space; null where nothing
-    was removed (the text stays as it is)."""
-    _, found = repeated_windows(docs)
-    return found.mapInArrow(_apply(_rest), "doc_id long, kept_text string")
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words left, joined by one space, as ``text`` where
+    words were removed; all other texts and columns stay as they are."""
+    names = [c for c in docs.columns if c != "text"]
+    _, found = repeated_windows(docs, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = column(batch, "text").to_pylist()
+            marks = [column(batch, c) for c in ("marks__", "more__")]
+            for k, t in enumerate(texts):
+                both = [m[k].values.to_numpy(zero_copy_only=False) for m in marks if m[k].is_valid]
+                if t and both:
+                    words = t.encode().split()
+                    gone = _removed(len(words), np.concatenate(both))
+                    if gone.any():
+                        texts[k] = b" ".join(compress(words, (~gone).tolist())).decode()
+            yield pa.RecordBatch.from_arrays(
+                [*(column(batch, c) for c in names), pa.array(texts, pa.string())], names=[*names, "text"])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in dict(docs.dtypes).items() if c != "text") + ", text string"
+    return found.mapInArrow(run, schema).select(docs.columns)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

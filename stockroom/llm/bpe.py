@@ -28,7 +28,7 @@ import regex
 import re
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm.textbytes import column
+from stockroom.llm.textbytes import Memo, column
 
 #: Pre-tokenisation of byte-level BPE (public, fixed pattern).
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -67,7 +67,7 @@ def _run(key: str) -> str:
 class ByteBpe:
     """Encoder and decoder for a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, cache_size: int = 700_000):
+    def __init__(self, path: str, cache_size: int = 500_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = byte_alphabet()
@@ -92,7 +92,7 @@ class ByteBpe:
             self.rank[pair] = r
             self.made_at.append(self.vocab[a + b])
         self._prepare(size)
-        self.cache_size, self.cache, self.words = cache_size, {}, {}
+        self.cache, self.words = Memo(cache_size), Memo(cache_size)
 
     def _merge(self, word: bytes, parents: dict | None = None) -> list[int]:
         """Exact merging: lowest rank first, leftmost first among equals."""
@@ -219,14 +219,11 @@ class ByteBpe:
     def _learn(self, keys: list[str]) -> None:
         """Fill the cache: runs that differ in punctuation share their words."""
         split = [WORD.findall(_run(k)) for k in keys]
-        known = self.words
-        new = list({w for ws in split for w in ws if w not in known})
-        if len(known) + len(new) > self.cache_size:
-            known.clear()
-            new = list({w for ws in split for w in ws})
+        new = self.words.missing(set().union(*split))
+        known = self.words.now
         for w, ids in zip(new, self.encode_words([w.encode() for w in new])):
             known[w] = array("I", ids).tobytes()
-        cache = self.cache
+        cache = self.cache.now
         for k, ws in zip(keys, split):
             cache[k] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
 
@@ -244,14 +241,10 @@ class ByteBpe:
             else:
                 one = run_keys(t)
             parts.append(one)
-        cache = self.cache
-        seen = set().union(*parts)
-        new = [k for k in seen.difference(cache) if not isinstance(k, int)]
+        new = self.cache.missing({k for k in set().union(*parts) if not isinstance(k, int)})
         if new:
-            if len(cache) + len(new) > self.cache_size:
-                cache.clear()
-                new = [k for k in seen if not isinstance(k, int)]
             self._learn(new)
+        cache = self.cache.now
         out = []
         for one in parts:
             try:

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockroom.llm.textbytes import column
+from stockroom.llm.textbytes import Memo, column
 from stockroom.session import ensure_checkpoint_dir
 
 CAPACITY, REGION_ITEMS, ISLANDS, EPOCHS = 2048, 4096, 3, 2
@@ -46,15 +46,13 @@ class WordTokenizer:
     tokenizer drops white space and no token of it crosses any) and, for plain
     runs, per word, so that runs that differ in signs and case share them."""
 
-    def __init__(self, path: str, cache_size: int = 1_200_000):
+    def __init__(self, path: str, cache_size: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        self.cache: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.cache_size = cache_size
+        self.cache, self.words = Memo(cache_size), Memo(cache_size)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,27 +66,20 @@ class WordTokenizer:
                 split.append(WORD.findall(t.lower()))
             else:
                 odd.append(r)
-        words = self.words
-        new = [w for w in set().union(*split) if w not in words]
-        if len(words) + len(new) > self.cache_size:
-            words.clear()
-            new = list(set().union(*split))
+        new = self.words.missing(set().union(*split))
+        words = self.words.now
         words.update(zip(new, self._ids(new)))
-        cache = self.cache
+        cache = self.cache.now
         for r, ws in zip(plain, split):
             cache[r] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
         cache.update(zip(odd, self._ids([r.decode() for r in odd])))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         runs = [t.encode().split() if t else [] for t in texts]
-        seen = set().union(*runs)
-        new = list(seen.difference(self.cache))
-        if len(self.cache) + len(new) > self.cache_size:
-            self.cache.clear()
-            new = list(seen)
+        new = self.cache.missing(set().union(*runs))
         for i in range(0, len(new), 50_000):
             self._learn(new[i:i + 50_000])
-        get = self.cache.__getitem__
+        get = self.cache.now.__getitem__
         return [b"".join(map(get, r)) for r in runs]
 
 

@@ -136,6 +136,28 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:n], m[width - s:width - s + n])
 
 
+class Memo:
+    """Bounded memory of a worker in two generations: what is used stays, what
+    was not used while ``size`` new keys came is forgotten."""
+
+    def __init__(self, size: int):
+        self.now: dict = {}
+        self.before: dict = {}
+        self.size = size
+
+    def missing(self, keys: set) -> list:
+        """Keys to be added to ``now``; all others of ``keys`` are in it."""
+        new = keys.difference(self.now)
+        if len(self.now) + len(new) > self.size:
+            self.before, self.now = self.now, {}
+            new = keys
+        if self.before:
+            kept = {k: self.before[k] for k in new if k in self.before}
+            self.now.update(kept)
+            new = new.difference(kept)
+        return list(new)
+
+
 # Packed rows: many small rows of one bucket travel as one compressed blob.
 
 def pack(cols: list[tuple[np.ndarray, int]]) -> bytes:

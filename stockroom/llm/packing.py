@@ -49,13 +49,19 @@ class WordTokenizer:
     def __init__(self, path: str, cache_size: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import ByteLevel
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
+        # Plain words are normalised and cut already: the model alone is left.
+        self.model = Tokenizer.from_str(self.lib.to_str())
+        self.model.normalizer = Sequence([])
+        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache, self.words = Memo(cache_size), Memo(cache_size)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, lib, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, runs: list[bytes]) -> None:
         plain, odd, split = [], [], []
@@ -68,11 +74,11 @@ class WordTokenizer:
                 odd.append(r)
         new = self.words.missing(set().union(*split))
         words = self.words.now
-        words.update(zip(new, self._ids(new)))
+        words.update(zip(new, self._ids(self.model, new)))
         cache = self.cache.now
         for r, ws in zip(plain, split):
             cache[r] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-        cache.update(zip(odd, self._ids([r.decode() for r in odd])))
+        cache.update(zip(odd, self._ids(self.lib, [r.decode() for r in odd])))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         runs = [t.encode().split() if t else [] for t in texts]

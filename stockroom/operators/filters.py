@@ -26,20 +26,14 @@ def valid_spans(df: DataFrame, start, end, as_of) -> DataFrame:
     return df.where(pad_open_end(end, as_of) > _c(start))
 
 
-def _lit_ts(v) -> Column:
-    if isinstance(v, str) and len(v) == 10:
-        v = _dt.date.fromisoformat(v)
-    return ntz_lit(v)
-
-
-def _lit_date(v) -> Column:
-    if isinstance(v, Column):
+def _day(v) -> _dt.date:
+    """A bound that is a day: a date or a 10-character text. Anything finer
+    (a time of day) is refused, since intervals are whole days."""
+    if isinstance(v, _dt.date) and not isinstance(v, _dt.datetime):
         return v
-    if isinstance(v, str):
-        v = _dt.date.fromisoformat(v[:10])
-    elif isinstance(v, _dt.datetime):
-        v = v.date()
-    return F.lit(v)
+    if isinstance(v, str) and len(v) == 10:
+        return _dt.date.fromisoformat(v)
+    raise ValueError(f"interval bounds are days (a date or 'YYYY-MM-DD'), not {v!r}")
 
 
 def interval_predicate(col, start, end, unit: str = "timestamp") -> Column:
@@ -49,13 +43,10 @@ def interval_predicate(col, start, end, unit: str = "timestamp") -> Column:
     one-day interval holds the whole day. ``unit="date"``: inclusive
     ``between`` on a DATE column.
     """
-    c = _c(col)
+    c, lo, hi = _c(col), _day(start), _day(end)
     if unit == "date":
-        return c.between(_lit_date(start), _lit_date(end))
-    lo = _lit_ts(start)
-    hi = _lit_ts(_dt.date.fromisoformat(str(end)[:10]) + _dt.timedelta(days=1)) \
-        if not isinstance(end, Column) else end
-    return (c >= lo) & (c < hi)
+        return c.between(F.lit(lo), F.lit(hi))
+    return (c >= ntz_lit(lo)) & (c < ntz_lit(hi + _dt.timedelta(days=1)))
 
 
 #: Day partition column of a raw landing table (``to_date(timestamp)``).
@@ -63,15 +54,15 @@ DAY_COLUMN = "event_date"
 
 
 def in_interval(df: DataFrame, col, start, end, unit: str = "timestamp",
-                day_col: str | None = DAY_COLUMN) -> DataFrame:
+                day_col: str | None = None) -> DataFrame:
     """Filter to an interval (see :func:`interval_predicate`); literal bounds
-    let the predicate reach the parquet scan. When ``df`` carries the day
-    partition column ``day_col`` (= day of ``col``), the implied day range
-    is added too, so whole partitions are pruned (Catalyst does not derive
-    it from the timestamp predicate)."""
+    let the predicate reach the parquet scan. ``day_col`` names a partition
+    column that is the day of ``col``: the implied day range is added too, so
+    whole partitions are pruned (Catalyst does not derive it from the
+    timestamp predicate). Only the caller can know that, so it has no default."""
     out = df.where(interval_predicate(col, start, end, unit))
-    if day_col and day_col in df.columns and unit == "timestamp":
-        out = out.where(F.col(day_col).between(_lit_date(start), _lit_date(end)))
+    if day_col and unit == "timestamp":
+        out = out.where(F.col(day_col).between(F.lit(_day(start)), F.lit(_day(end))))
     return out
 
 
@@ -82,16 +73,16 @@ def high_water_mark(target: DataFrame, col: str):
 
 
 def above_mark(df: DataFrame, col: str, mark, inclusive: bool = False,
-               day_col: str | None = DAY_COLUMN) -> DataFrame:
+               day_col: str | None = None) -> DataFrame:
     """``col > mark`` (or ``>=``). The mark is a literal so the comparison is
-    pushed to the scan; with the day partition column ``day_col`` present,
-    ``day_col >= day(mark)`` is added so older partitions are never listed
-    or read. A null mark (empty target) keeps every row."""
+    pushed to the scan. ``day_col`` names a partition column that is the day of
+    ``col``: ``day_col >= day(mark)`` is added so older partitions are never
+    listed or read. A null mark (empty target) keeps every row."""
     if mark is None:
         return df
     c = F.col(col)
     out = df.where(c >= typed_lit(mark) if inclusive else c > typed_lit(mark))
-    if day_col and day_col in df.columns and isinstance(mark, _dt.datetime):
+    if day_col and isinstance(mark, _dt.datetime):
         out = out.where(F.col(day_col) >= F.lit(mark.date()))
     return out
 

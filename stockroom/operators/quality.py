@@ -100,14 +100,16 @@ class Audit:
 def run_audits(df: DataFrame, audits: Sequence[Audit]) -> DataFrame:
     """``(audit, violations)`` for every audit. Row-level audits are counted
     together in one aggregate (one scan); each grain audit adds one grouping."""
+    if not audits:
+        raise ValueError("no audits given")
     row_level = [a for a in audits if a.kind != "unique"]
     parts = []
     if row_level:
         counts = df.agg(*[F.count_if(a.predicate()).alias(f"c{i}")
                           for i, a in enumerate(row_level)])
-        stack = ", ".join(f"'{a.name}', c{i}" for i, a in enumerate(row_level))
-        parts.append(counts.selectExpr(
-            f"stack({len(row_level)}, {stack}) as (audit, violations)"))
+        cells = [F.struct(F.lit(a.name).alias("audit"), F.col(f"c{i}").alias("violations"))
+                 for i, a in enumerate(row_level)]
+        parts.append(counts.select(F.explode(F.array(*cells)).alias("a")).select("a.audit", "a.violations"))
     for a in audits:
         if a.kind == "unique":
             parts.append(audit_unique(df, a.keys)
@@ -130,21 +132,38 @@ VEHICLE_AUDITS = (
 
 # ---------------------------------------------------------------- table diff
 
+def schema_diff(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
+    """Columns added, removed and of another type on the right side."""
+    l, r = dict(left.dtypes), dict(right.dtypes)
+    return {"added": [c for c in r if c not in l], "removed": [c for c in l if c not in r],
+            "changed": [c for c in l if c in r and l[c] != r[c]]}
+
+
 def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str],
                columns: Sequence[str] | None = None) -> DataFrame:
     """Row-level diff of two versions of one table on its grain ``keys``:
     one row per key that was ``added`` (right only), ``removed`` (left only)
     or ``changed`` (some compared column differs, nulls compared as values).
 
-    A full outer join on the grain: both sides are unique on ``keys``, so
-    there is no fan-out and a hot key value cannot exist.
+    A full outer join on the grain. A key repeated on one side is an error, so
+    there is no fan-out. Columns on both sides are compared; columns of one side
+    only are a schema change, see :func:`schema_diff`.
     """
     keys = list(keys)
-    cols = list(columns or [c for c in left.columns if c not in keys])
-    l = left.select(*keys, *[F.col(c).alias(f"__l_{c}") for c in cols], F.lit(True).alias("__l"))
-    r = right.select(*keys, *[F.col(c).alias(f"__r_{c}") for c in cols], F.lit(True).alias("__r"))
-    j = l.join(r, [l[k].eqNullSafe(r[k]) for k in keys], "full_outer")
-    key_cols = [F.coalesce(l[k], r[k]).alias(k) for k in keys]
+    both = [c for c in left.columns if c in right.columns]
+    cols = list(columns or [c for c in both if c not in keys])
+    # Renaming the keys of both sides keeps them apart when the sides share
+    # their lineage (a table and a changed copy of it).
+    l = left.groupBy(*[F.col(k).alias(f"__lk_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("__l"), *[F.first(c).alias(f"__l_{c}") for c in cols])
+    r = right.groupBy(*[F.col(k).alias(f"__rk_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("__r"), *[F.first(c).alias(f"__r_{c}") for c in cols])
+    cond = [F.col(f"__lk_{k}").eqNullSafe(F.col(f"__rk_{k}")) for k in keys]
+    j = l.join(r, cond, "full_outer")
+    j = j.withColumn("__once", F.when((F.coalesce("__l", F.lit(1)) == 1) & (F.coalesce("__r", F.lit(1)) == 1), True)
+                     .otherwise(F.raise_error(F.lit(f"table_diff: repeated key {keys}"))))
+    j = j.where(F.col("__once"))
+    key_cols = [F.coalesce(f"__lk_{k}", f"__rk_{k}").alias(k) for k in keys]
     same = F.lit(True)
     for c in cols:
         same = same & F.col(f"__l_{c}").eqNullSafe(F.col(f"__r_{c}"))

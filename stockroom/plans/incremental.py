@@ -28,53 +28,75 @@ from stockroom.plans.preview import (
     LATEST_ORDER, SNAPSHOT_COLUMNS, cdp_preview, parse_preview, sdp_preview,
 )
 from stockroom.sinks.tables import (
-    merge_by_key, read_table, replace_time_range, table_exists,
+    commit_mark, committed_mark, merge_by_key, read_table, replace_time_range, table_exists,
 )
 
 
+def _mark(spark: SparkSession, table: str, col: str, parse):
+    """Mark of the last complete run; a table without one (just created) has
+    been written in one statement, so its maximum holds."""
+    stored = committed_mark(spark, table, col)
+    return parse(stored) if stored else high_water_mark(read_table(spark, table), col)
+
+
 def sdp_incremental_hwm(spark: SparkSession, raw: DataFrame, table: str,
-                        json: str = "struct") -> None:
+                        json: str = "struct", day_col: str | None = None,
+                        lookback: _dt.timedelta | None = None) -> None:
     """Snapshot per vehicle, loading only raw rows with
     ``timestamp > max(event_timestamp)`` of the target, merged on the id.
-    An existing but empty target has no mark and loads everything."""
+    An existing but empty target has no mark and loads everything.
+
+    The mark is the one stored after the last complete run, so a run that
+    stopped between partitions is repeated in full. ``day_col``: partition
+    column of ``raw`` that is the day of ``timestamp``. ``lookback``: read that
+    much before the mark again and keep the later row of each vehicle, so rows
+    late by less than it are not lost."""
+    order = None
     if table_exists(spark, table):
-        mark = high_water_mark(read_table(spark, table), "event_timestamp")
-        raw = above_mark(raw, "timestamp", mark)
+        mark = _mark(spark, table, "event_timestamp", _dt.datetime.fromisoformat)
+        if lookback and mark is not None:
+            mark, order = mark - lookback, ["event_timestamp"]
+        raw = above_mark(raw, "timestamp", mark, day_col=day_col)
     # Latest-per-key output is unique and non-null on the key by construction.
-    merge_by_key(spark, table, sdp_preview(raw, json), ["inventory_id"], check=False)
+    merge_by_key(spark, table, sdp_preview(raw, json), ["inventory_id"], check=False, order=order)
+    commit_mark(spark, table, "event_timestamp", high_water_mark(read_table(spark, table), "event_timestamp"))
 
 
-def range_snapshot(raw: DataFrame, start, end, json: str = "struct") -> DataFrame:
+def range_snapshot(raw: DataFrame, start, end, json: str = "struct",
+                   day_col: str | None = None) -> DataFrame:
     """Latest snapshot per ``(vehicle, day)`` for the days ``start .. end``."""
-    parsed = parse_preview(in_interval(raw, "timestamp", start, end), json)
+    parsed = parse_preview(in_interval(raw, "timestamp", start, end, day_col=day_col), json)
     parsed = parsed.withColumn("__day", F.to_date("event_timestamp"))
     return latest_per_key(parsed, ["inventory_id", "__day"], LATEST_ORDER).select(*SNAPSHOT_COLUMNS)
 
 
 def sdp_incremental_range(spark: SparkSession, raw: DataFrame, table: str, start, end,
-                          json: str = "struct") -> None:
+                          json: str = "struct", day_col: str | None = None) -> None:
     """Replace the days ``start .. end`` of the target with that interval's
     latest snapshot per vehicle and day."""
-    replace_time_range(spark, table, range_snapshot(raw, start, end, json),
+    replace_time_range(spark, table, range_snapshot(raw, start, end, json, day_col),
                        "event_timestamp", start, end)
 
 
 def sdp_incremental_key(spark: SparkSession, raw: DataFrame, table: str, start, end,
-                        json: str = "struct") -> None:
-    """Latest snapshot per vehicle over the interval, merged on the id (no
-    recency guard: re-running an old interval overwrites newer rows)."""
-    merge_by_key(spark, table, sdp_preview(in_interval(raw, "timestamp", start, end), json),
-                 ["inventory_id"], check=False)   # unique by construction
+                        json: str = "struct", day_col: str | None = None,
+                        only_if_newer: bool = False) -> None:
+    """Latest snapshot per vehicle over the interval, merged on the id. Without
+    a guard, re-running an old interval overwrites newer rows; with
+    ``only_if_newer`` the later of both rows stays."""
+    batch = sdp_preview(in_interval(raw, "timestamp", start, end, day_col=day_col), json)
+    merge_by_key(spark, table, batch, ["inventory_id"], check=False,   # unique by construction
+                 order=["event_timestamp"] if only_if_newer else None)
 
 
 def cdp_incremental_hwm(spark: SparkSession, snap: DataFrame, table: str, as_of,
                         method: str = "sweep") -> None:
     """Daily stock for days ``>= max(stock_date)`` of the target (clamped
     before expansion), merged on the day. Earlier days are never revisited."""
-    lo = high_water_mark(read_table(spark, table), "stock_date") \
-        if table_exists(spark, table) else None
+    lo = _mark(spark, table, "stock_date", _dt.date.fromisoformat) if table_exists(spark, table) else None
     daily = cdp_preview(snap, as_of, method=method, lo=lo, sort=False)
     merge_by_key(spark, table, daily, ["stock_date"], check=False)   # one row per day
+    commit_mark(spark, table, "stock_date", high_water_mark(read_table(spark, table), "stock_date"))
 
 
 def cdp_incremental_range(spark: SparkSession, snap: DataFrame, table: str, start, end,

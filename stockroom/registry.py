@@ -461,7 +461,7 @@ def q_incremental_first_run(spark, sf):
     def build(target):
         src = spark.table(raw)
         if target is not None:
-            src = above_mark(src, "timestamp", high_water_mark(target, "event_timestamp"))
+            src = above_mark(src, "timestamp", high_water_mark(target, "event_timestamp"), day_col="event_date")
         return preview.sdp_preview(src)
 
     sinks.merge_by_key(spark, t, sinks.incremental_or_full(spark, t, build), ["inventory_id"])
@@ -473,7 +473,7 @@ def q_backfill_daily(spark, sf):
     raw = _raw_table(spark, db, _fx(spark, sf, "raw_preview"))
     t = f"{db}.sdp_inventory_vehicles_preview_incremental"
     incremental.backfill(
-        lambda s, e: incremental.sdp_incremental_range(spark, spark.table(raw), t, s, e), *RANGE)
+        lambda s, e: incremental.sdp_incremental_range(spark, spark.table(raw), t, s, e, day_col="event_date"), *RANGE)
     return sinks.read_table(spark, t)
 
 
@@ -501,9 +501,9 @@ def q_sdp_incremental_hwm(spark, sf):
     b1, b2 = _batches(spark, sf)
     raw = _raw_table(spark, db, b1)
     t = f"{db}.sdp_inventory_vehicles_preview_incremental"
-    incremental.sdp_incremental_hwm(spark, spark.table(raw), t)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), t, day_col="event_date")
     _append(b2, raw)
-    incremental.sdp_incremental_hwm(spark, spark.table(raw), t)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), t, day_col="event_date")
     return sinks.read_table(spark, t)
 
 
@@ -513,11 +513,11 @@ def _p7_runs(spark, sf, db, after_first=None):
     b1, b2 = _batches(spark, sf)
     raw = _raw_table(spark, db, b1)
     t = f"{db}.sdp_inventory_vehicles_preview_incremental"
-    incremental.sdp_incremental_range(spark, spark.table(raw), t, *RANGE)
+    incremental.sdp_incremental_range(spark, spark.table(raw), t, *RANGE, day_col="event_date")
     if after_first:
         after_first(t)
     _append(b2, raw)
-    incremental.sdp_incremental_range(spark, spark.table(raw), t, "2024-01-19", "2024-01-22")
+    incremental.sdp_incremental_range(spark, spark.table(raw), t, "2024-01-19", "2024-01-22", day_col="event_date")
     return t
 
 
@@ -530,7 +530,7 @@ def q_sdp_incremental_key(spark, sf):
     db = scratch_database(spark)
     raw = _raw_table(spark, db, _fx(spark, sf, "raw_preview"))
     t = f"{db}.sdp_inventory_vehicles_preview_incremental_key"
-    run = lambda s, e: incremental.sdp_incremental_key(spark, spark.table(raw), t, s, e)
+    run = lambda s, e: incremental.sdp_incremental_key(spark, spark.table(raw), t, s, e, day_col="event_date")
     incremental.backfill(run, *RANGE)
     run(RANGE[0], RANGE[0])  # re-running an old day overwrites newer rows
     return sinks.read_table(spark, t)
@@ -542,10 +542,10 @@ def q_cdp_incremental_hwm(spark, sf):
     raw = _raw_table(spark, db, b1)
     snap = f"{db}.sdp_inventory_vehicles_preview_incremental"
     t = f"{db}.cdp_inventory_reporting_preview_incremental"
-    incremental.sdp_incremental_hwm(spark, spark.table(raw), snap)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), snap, day_col="event_date")
     incremental.cdp_incremental_hwm(spark, sinks.read_table(spark, snap), t, AS_OF)
     _append(b2, raw)
-    incremental.sdp_incremental_hwm(spark, spark.table(raw), snap)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), snap, day_col="event_date")
     incremental.cdp_incremental_hwm(spark, sinks.read_table(spark, snap), t, AS_OF)
     return sinks.read_table(spark, t)
 

@@ -72,6 +72,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/").rsplit("/", 1)[0]   # <dir>/<application uuid>
     if key not in _FALLBACK:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a shared folder for work data")
         _FALLBACK[key] = tempfile.mkdtemp(prefix="stockroom-")
         if sc is not None:
             sc.setCheckpointDir(f"{_FALLBACK[key]}/rdd")

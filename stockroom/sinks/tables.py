@@ -89,10 +89,24 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    w = df.write.mode("overwrite").format("parquet")
+    spark = df.sparkSession
+    # A replaced table is written beside the old one and takes its name at the
+    # end: a refresh that fails leaves the old rows readable.
+    exists = table_exists(spark, table)
+    name = f"{table}__next_{uuid.uuid4().hex[:12]}" if exists else table
+    w = df.write.format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(table)
+    try:
+        w.saveAsTable(name)
+    except Exception:
+        if exists:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
+    if exists:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+        spark.catalog.refreshTable(table)
     if comment is not None:
         with_comments(df.sparkSession, table, comment)
 
@@ -107,15 +121,23 @@ _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _stage(df: DataFrame, table: str, kind: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to the target's staging folder in the shared folder and
+    """Write ``df`` to a staging folder of this run in the shared folder and
     read it back: the lineage is cut there, a failed table write is retried
-    from it, and the next run of the same target overwrites it (staging
-    space stays bounded: one copy per kind and target)."""
-    path = f"{shared_dir(df.sparkSession)}/stockroom/stage/{table}/{kind}"
-    df.write.mode("overwrite").parquet(path)
+    from it, and two writers of one target do not meet. The caller drops it
+    after its commit (see :func:`_unstage`)."""
+    path = f"{shared_dir(df.sparkSession)}/stockroom/stage/{table}/{kind}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def _unstage(spark: SparkSession, *paths: str) -> None:
+    """Delete staging folders through Spark's own file system layer."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def _insert_dynamic(spark: SparkSession, staged_path: str, schema: T.StructType, table: str,
                     columns: Sequence[str]) -> None:
     """Overwrite only the partitions present in the staged rows.
@@ -156,6 +178,20 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
+_PROP_MARK = "stockroom.mark."
+
+
+def committed_mark(spark: SparkSession, table: str, col: str) -> str | None:
+    """High-water mark (ISO text) stored by the last complete run."""
+    return _properties(spark, table).get(_PROP_MARK + col)
+
+
+def commit_mark(spark: SparkSession, table: str, col: str, mark) -> None:
+    """Store a run's mark, after its last partition is written."""
+    if mark is not None:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROP_MARK}{col}' = '{mark.isoformat()}')")
+
+
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
                  buckets: int | None = None, order: Sequence | None = None,
                  check: bool = True) -> None:
@@ -184,7 +220,7 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     buckets = buckets or DEFAULT_BUCKETS
     # The batch is computed once (parsing, dedup...) and staged in the shared
     # folder; checks and merge read that copy.
-    staged, _ = _stage(batch.withColumn(PART, bucket_of(keys, buckets)), table, "batch")
+    staged, batch_path = _stage(batch.withColumn(PART, bucket_of(keys, buckets)), table, "batch")
     if check:
         _check_keys(staged, keys)
     if not exists:
@@ -197,6 +233,7 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
                       f"'{_PROP_KEYS}' = '{','.join(keys)}') AS SELECT * FROM {view}")
         finally:
             spark.catalog.dropTempView(view)
+        _unstage(spark, batch_path)
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
@@ -214,28 +251,38 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     # failure while replacing the buckets can be retried from the staged copy.
     # Grouped by bucket first (keys are unique, so buckets are balanced by the
     # hash): each bucket is then written as one file, not one per task.
-    merged, path = _stage(new.repartition(F.col(PART)), table, "merge")
+    merged, path = _stage(_by_part(new), table, "merge")
     _insert_dynamic(spark, path, merged.schema, table, target.columns)
+    _unstage(spark, batch_path, path)
+
+
+def _by_part(df: DataFrame) -> DataFrame:
+    """Rows of a partition together before a partitioned write; a rebalance, so
+    that large partitions are split and small ones share a task by their size."""
+    return df.hint("rebalance", PART)
 
 
 def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_col: str,
                        start, end, unit: str = "timestamp") -> None:
-    """Replace exactly the interval ``start .. end`` (days; see
-    :func:`stockroom.operators.filters.interval_predicate`) of ``table`` by
-    ``batch``; rows of the batch outside the interval are not written."""
+    """Replace exactly the interval ``start .. end`` (whole days; finer bounds
+    are refused, see :func:`stockroom.operators.filters.interval_predicate`) of
+    ``table`` by ``batch``; rows of the batch outside the interval are not
+    written. Two steps: written days are replaced, then days of the range that
+    became empty are dropped; after a stop in between, run it again."""
     staged = (batch.where(interval_predicate(time_col, start, end, unit))
                    .withColumn(PART, F.to_date(F.col(time_col))))
     if not table_exists(spark, table):
-        staged.write.format("parquet").partitionBy(PART).saveAsTable(table)
+        _by_part(staged).write.format("parquet").partitionBy(PART).saveAsTable(table)
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
     # Computed once: the written rows and the set of days written agree even
     # if the batch's inputs change meanwhile; lineage is cut at the shared
     # folder.
-    staged, path = _stage(staged, table, "range")
+    staged, path = _stage(_by_part(staged), table, "range")
     written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
     _insert_dynamic(spark, path, staged.schema, table, target.columns)
+    _unstage(spark, path)
     lo, hi = str(start)[:10], str(end)[:10]
     kept = {str(d) for d in written}
     stale = []

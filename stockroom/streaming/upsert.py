@@ -35,13 +35,17 @@ def stream_upsert_latest(sdf: DataFrame, table: str, keys: Sequence[str], order:
     ``transform`` maps a raw micro-batch to rows with ``keys`` and the
     ``order`` columns; ``columns`` are the stored columns (default: all).
     """
+    lost = [o for o in order if isinstance(o, str) and columns is not None and o not in columns]
+    if lost:
+        raise ValueError(f"order columns {lost} are not stored: later batches could not be compared with the table")
+
     def upsert(batch: DataFrame, _batch_id: int) -> None:
         rows = transform(batch) if transform else batch
         latest = latest_per_key(rows, keys, order)
         if columns is not None:
             latest = latest.select(*columns)
         merge_by_key(batch.sparkSession, table, latest, keys,
-                     order=[o for o in order if o in latest.columns],
+                     order=list(order),
                      check=any_null_keys_possible(rows, keys))
 
     w = sdf.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)

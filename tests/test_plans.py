@@ -68,10 +68,10 @@ def test_day_partitions_pruned_by_mark_and_interval(spark):
     t = f"{db}.raw"
     write_full(with_event_date(fixtures.frame(spark, SF_SMALL, "raw_preview")), t,
                partition_by=["event_date"])
-    marked = above_mark(spark.table(t), "timestamp", dt.datetime(2024, 1, 20, 5))
+    marked = above_mark(spark.table(t), "timestamp", dt.datetime(2024, 1, 20, 5), day_col="event_date")
     p = _plan(marked)
     assert "PartitionFilters: [isnotnull(event_date" in p and "2024-01-20" in p
-    ranged = _plan(in_interval(spark.table(t), "timestamp", "2024-01-18", "2024-01-19"))
+    ranged = _plan(in_interval(spark.table(t), "timestamp", "2024-01-18", "2024-01-19", day_col="event_date"))
     assert "PartitionFilters: [isnotnull(event_date" in ranged
     # Same rows as on the unpartitioned data.
     raw = fixtures.frame(spark, SF_SMALL, "raw_preview")

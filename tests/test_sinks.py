@@ -136,5 +136,5 @@ def test_staging_space_is_bounded_per_target(spark):
         merge_by_key(spark, t, _kv(spark, [(f"k{j}", i, T(2024, 1, 1)) for j in range(5)]), ["k"])
     root = shared_dir(spark).replace("file:", "")
     stage = os.path.join(root, "stockroom", "stage", t)
-    assert sorted(os.listdir(stage)) == ["batch", "merge"]
+    assert sorted(os.listdir(stage)) == []
     assert {r["v"] for r in read_table(spark, t).collect()} == {2}

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from stockroom.functions.dates import days_between  # noqa: E402
 from stockroom.operators.spans import expand_days  # noqa: E402
 from stockroom.plans import demo, preview  # noqa: E402
-from stockroom.registry import AS_OF, QUERIES, RANGE, _fx, _p1, _p4  # noqa: E402
+from stockroom.streaming.ingest import with_event_date  # noqa: E402
+from stockroom.registry import AS_OF, QUERIES, STOCK_DAYS, _by_day, _fx, _p1, _p4  # noqa: E402
 from stockroom.session import get_spark  # noqa: E402
 from stockroom.sinks import tables as sinks  # noqa: E402
 from stockroom.session import scratch_database  # noqa: E402
@@ -35,7 +36,7 @@ def _days_literal(spark, sf):
     """R7 literal form: expand every span, then filter the day range."""
     spans = preview.snapshot_spans(_p4(spark, sf), AS_OF)
     x = expand_days(spans, "span_start", "span_end")
-    x = x.where(F.col("stock_date").between(F.lit(RANGE[0]).cast("date"), F.lit(RANGE[1]).cast("date")))
+    x = x.where(F.col("stock_date").between(F.lit(STOCK_DAYS[0]).cast("date"), F.lit(STOCK_DAYS[1]).cast("date")))
     return x.select("inventory_id", "stock_date",
                     days_between("stock_date", F.to_date("span_start")).alias("stock_days"))
 
@@ -63,12 +64,12 @@ def _io9_prepare(spark, sf, n):
     db = scratch_database(spark)
     b1, b2 = _batches(spark, sf)
     raw_b1, raw_all = f"{db}.raw_b1", f"{db}.raw_all"
-    sinks.write_full(b1, raw_b1)
-    sinks.write_full(b1.unionByName(b2), raw_all)
+    for rows, t in ((b1, raw_b1), (b1.unionByName(b2), raw_all)):
+        sinks.write_full(_by_day(with_event_date(rows)), t, partition_by=["event_date"])
     targets = []
     for i in range(n):
         t = f"{db}.snap_{i}"
-        incremental.sdp_incremental_hwm(spark, spark.table(raw_b1), t)
+        incremental.sdp_incremental_hwm(spark, spark.table(raw_b1), t, day_col="event_date")
         targets.append(t)
     return db, raw_all, targets
 
@@ -85,7 +86,7 @@ def _io9_merge(spark, sf, state, i):
     """IO9 Spark-first form: only raw rows past the mark, merged by key."""
     from stockroom.plans import incremental
     _, raw_all, targets = state
-    incremental.sdp_incremental_hwm(spark, spark.table(raw_all), targets[i])
+    incremental.sdp_incremental_hwm(spark, spark.table(raw_all), targets[i], day_col="event_date")
     return sinks.read_table(spark, targets[i])
 
 

@@ -62,6 +62,24 @@ def typed_lit(value) -> Column:
     return F.lit(value)
 
 
+def instant_to_wall(col, zone: str = "UTC") -> Column:
+    """TIMESTAMP (an instant) -> its wall time in ``zone`` as ``timestamp_ntz``,
+    whatever the session zone is."""
+    micros = F.unix_micros(_c(col))
+    secs = F.pmod(micros, F.lit(86_400_000_000)).cast("decimal(18,6)") / F.lit(1_000_000)
+    utc = (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+           + F.make_dt_interval(F.floor(micros / F.lit(86_400_000_000)).cast("int"), F.lit(0), F.lit(0),
+                                secs.cast("decimal(18,6)")))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def wall_to_instant(col, zone: str = "UTC") -> Column:
+    """``timestamp_ntz`` wall time of ``zone`` -> TIMESTAMP."""
+    c = _c(col)
+    return F.make_timestamp_ltz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                                F.extract(F.lit("SECOND"), c), F.lit(zone))
+
+
 def decode(col) -> Column:
     """Bytes -> UTF-8 string (Kafka key/value)."""
     return _c(col).cast("string")

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.session import ensure_checkpoint_dir
+
 _RN = "__rn"
 
 
@@ -81,6 +83,7 @@ def first_over_full_frame(df: DataFrame, key: str, order: Sequence, cols: Sequen
     joined back on the key (null-safe, so a null key gets its group's
     values). No task ever holds a whole group: a hot key meets one row on the
     build side (broadcast when small, otherwise AQE splits the skewed side).
+    The input is used twice, so it is checkpointed in the shared folder first.
     ``method="window"``: the literal window, which buffers each key's whole
     group in one task.
     """
@@ -90,6 +93,8 @@ def first_over_full_frame(df: DataFrame, key: str, order: Sequence, cols: Sequen
         return df.withColumns({c: F.first_value(F.col(c)).over(w) for c in cols})
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     firsts = latest_per_key(df.select(key, *[o for o in order if o not in cols and o != key], *cols),
                             [key], order, method="max_by")
     firsts = firsts.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__f_{c}") for c in cols])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.functions.casts import wall_to_instant
 from stockroom.operators.filters import is_null, not_accepted
 
 
@@ -62,6 +63,12 @@ def enforce_contract(df: DataFrame, contract: T.StructType | Mapping) -> DataFra
     return df
 
 
+def with_instants(df: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Every ``timestamp_ntz`` column as TIMESTAMP, read as wall time of
+    ``zone`` (for a contract that says TIMESTAMP)."""
+    return df.withColumns({c: wall_to_instant(c, zone) for c, t in df.dtypes if t == "timestamp_ntz"})
+
+
 # ---------------------------------------------------------------- audits
 
 def audit_not_null(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
@@ -98,23 +105,26 @@ class Audit:
 
 
 def run_audits(df: DataFrame, audits: Sequence[Audit]) -> DataFrame:
-    """``(audit, violations)`` for every audit. Row-level audits are counted
-    together in one aggregate (one scan); each grain audit adds one grouping."""
+    """``(audit, violations)`` for every audit in one pass: rows are grouped on
+    the first grain with the row-level violations counted per group, and the
+    groups are summed. A further, different grain adds a pass of its own."""
     if not audits:
         raise ValueError("no audits given")
-    row_level = [a for a in audits if a.kind != "unique"]
-    parts = []
-    if row_level:
-        counts = df.agg(*[F.count_if(a.predicate()).alias(f"c{i}")
-                          for i, a in enumerate(row_level)])
-        cells = [F.struct(F.lit(a.name).alias("audit"), F.col(f"c{i}").alias("violations"))
-                 for i, a in enumerate(row_level)]
-        parts.append(counts.select(F.explode(F.array(*cells)).alias("a")).select("a.audit", "a.violations"))
+    row_level = [(f"c{i}", a) for i, a in enumerate(audits) if a.kind != "unique"]
+    grains = {tuple(a.keys): [] for a in audits if a.kind == "unique"}
     for a in audits:
         if a.kind == "unique":
-            parts.append(audit_unique(df, a.keys)
-                         .agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations"))
-                         .select(F.lit(a.name).alias("audit"), "violations"))
+            grains[tuple(a.keys)].append(a)
+    parts = []
+    for first, keys in enumerate(grains or {(): []}):
+        counted = row_level if first == 0 else []
+        groups = df.groupBy(*[F.col(k).alias(f"g{i}") for i, k in enumerate(keys)]).agg(
+            F.count(F.lit(1)).alias("n"), *[F.count_if(a.predicate()).alias(c) for c, a in counted])
+        repeated = F.sum(F.when(F.col("n") > 1, F.col("n")))
+        cells = [F.struct(F.lit(a.name).alias("audit"), F.coalesce(v, F.lit(0)).alias("violations"))
+                 for a, v in [(a, F.sum(c)) for c, a in counted] + [(a, repeated) for a in grains.get(keys, [])]]
+        parts.append(groups.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("a"))
+                     .select("a.audit", "a.violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -14,6 +14,7 @@ from stockroom.sources.fixtures import AS_OF, duckdb_sql
 
 CUT = "2024-01-20"
 RANGE = ("2024-01-18", "2024-01-25")
+STOCK_DAYS = ("2024-01-29", "2024-02-05")
 CDP_RANGE_1 = ("2024-01-15", "2024-02-20")
 CDP_RANGE_2 = ("2024-01-20", "2024-01-31")
 
@@ -240,7 +241,13 @@ def _q() -> dict[str, str]:
     q["cdp_preview_explode"] = q["cdp_preview"]
 
     q["sdp_incremental_hwm"] = build([PARSED_PREVIEW] + P6, "select * from p6")
-    q["incremental_first_run"] = build([PARSED_PREVIEW, B1], "select * from (" + latest("b1") + ")")
+    q["incremental_first_run"] = q["sdp_incremental_hwm"]
+    q["sdp_incremental_lookback"] = build([PARSED_PREVIEW, B1, ("seen", """
+select * from b1 union
+select * from parsed_preview where event_timestamp > (select max(event_timestamp) - interval 3 day from b1)""")],
+                                          "select * from (" + latest("seen") + ")")
+    q["sdp_incremental_key_newer"] = build([PARSED_PREVIEW], "select * from (" + latest(
+        "parsed_preview", where=between_ts("event_timestamp", *RANGE)) + ")")
     q["sdp_incremental_range"] = build([PARSED_PREVIEW] + P7, "select * from p7")
     q["backfill_daily"] = build([PARSED_PREVIEW], "select * from (" + latest(
         "parsed_preview", "inventory_id, cast(event_timestamp as date)",
@@ -261,7 +268,7 @@ with first as (
                               from events where ts < timestamp '2024-01-15 00:00:00') where rn = 1),
 batch as (
   select * exclude (rn) from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
-                              from events where event_type = 'purchase') where rn = 1)
+                              from events where event_type = 'purchase' or ts >= timestamp '2024-01-15 00:00:00') where rn = 1)
 select * from batch union all
 select * from first where user_id not in (select user_id from batch)"""
     q["replace_time_range"] = """
@@ -286,7 +293,7 @@ select event_timestamp, inventory_id, removal_date_time, creation_date_time from
 where inventory_id is not null and {between_ts('event_timestamp', *RANGE)}""")
     q["interval_filter_date"] = build(PREVIEW_DAILY, f"""
 select inventory_id, stock_date, stock_days from exploded
-where stock_date between {d(RANGE[0])} and {d(RANGE[1])}""")
+where stock_date between {d(STOCK_DAYS[0])} and {d(STOCK_DAYS[1])}""")
     q["hwm_strict_filter"] = build([PARSED_PREVIEW, B1], """
 select event_timestamp, inventory_id, removal_date_time, creation_date_time from parsed_preview
 where inventory_id is not null and event_timestamp > (select max(event_timestamp) from b1)""")

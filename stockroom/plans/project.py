@@ -26,6 +26,25 @@ DESCRIPTIONS = {
 }
 
 
+# Column descriptions (our wording), written with every model that has the column.
+COLUMN_DESCRIPTIONS = {
+    "inventory_id": "Vehicle id.",
+    "event_timestamp": "Time of the event.",
+    "processed_at": "Time the raw row was landed.",
+    "valid_from": "First event of the vehicle.",
+    "valid_to": "Last event of the vehicle.",
+    "stock_date": "Calendar day of the stock.",
+    "net_stock_count": "Vehicles in stock on the day.",
+    "stock_days": "Days the vehicles have been in stock, summed.",
+}
+
+
+def _write(df: DataFrame, table: str, **options) -> None:
+    name = table.rsplit(".", 1)[-1]
+    write_full(df, table, comment=DESCRIPTIONS[name],
+               column_comments={c: COLUMN_DESCRIPTIONS[c] for c in df.columns if c in COLUMN_DESCRIPTIONS}, **options)
+
+
 class AuditError(RuntimeError):
     pass
 
@@ -41,7 +60,7 @@ def run_demo_chain(spark: SparkSession, db: str, raw: DataFrame, markets: DataFr
     t1, t2, t3 = (f"{db}.{n}" for n in ("sdp_inventory_vehicles_demo",
                                         "agg_inventory_reporting_demo",
                                         "cdp_inventory_reporting_demo"))
-    write_full(demo.sdp_demo(raw), t1, comment=DESCRIPTIONS["sdp_inventory_vehicles_demo"])
+    _write(demo.sdp_demo(raw), t1)
     summary = spark.createDataFrame([], "audit string, violations bigint")
     if audits != "off":
         summary = run_audits(read_table(spark, t1), VEHICLE_AUDITS)
@@ -49,10 +68,8 @@ def run_demo_chain(spark: SparkSession, db: str, raw: DataFrame, markets: DataFr
             failed = summary.where(F.col("violations") > 0).collect()
             if failed:
                 raise AuditError("; ".join(f"{r['audit']}: {r['violations']}" for r in failed))
-    write_full(demo.agg_demo(read_table(spark, t1), markets, vehicles), t2,
-               comment=DESCRIPTIONS["agg_inventory_reporting_demo"])
-    write_full(demo.cdp_demo(read_table(spark, t2)), t3,
-               comment=DESCRIPTIONS["cdp_inventory_reporting_demo"])
+    _write(demo.agg_demo(read_table(spark, t1), markets, vehicles), t2)
+    _write(demo.cdp_demo(read_table(spark, t2)), t3)
     return summary
 
 
@@ -62,8 +79,7 @@ def run_preview_chain(spark: SparkSession, db: str, raw: DataFrame, as_of,
     by day); optionally the snapshot is copied to ``copy_db`` as another
     project's table."""
     t4, t5 = f"{db}.sdp_inventory_vehicles_preview", f"{db}.cdp_inventory_reporting_preview"
-    write_full(preview.sdp_preview(raw), t4, comment=DESCRIPTIONS["sdp_inventory_vehicles_preview"])
-    write_full(preview.cdp_preview(read_table(spark, t4), as_of, sort=False), t5,
-               comment=DESCRIPTIONS["cdp_inventory_reporting_preview"], cluster_by=["stock_date"])
+    _write(preview.sdp_preview(raw), t4)
+    _write(preview.cdp_preview(read_table(spark, t4), as_of, sort=False), t5, cluster_by=["stock_date"])
     if copy_db:
         write_full(preview.passthrough(read_table(spark, t4)), f"{copy_db}.sdp_inventory_vehicles_preview")

@@ -35,7 +35,7 @@ from stockroom.session import scratch_database, scratch_path
 from stockroom.sinks import tables as sinks
 from stockroom.sources import fixtures
 from stockroom.sources.tables import KAFKA, load, source, table_path
-from stockroom.streaming.ingest import append_stream, land_raw, read_stream, with_event_date
+from stockroom.streaming.ingest import ingest, land_raw, read_stream, with_event_date
 from stockroom.streaming.upsert import stream_upsert_latest
 
 AS_OF = fixtures.AS_OF
@@ -44,6 +44,8 @@ AS_OF = fixtures.AS_OF
 CUT = "2024-01-20"
 LATE_ID_SUFFIX = "%7"
 RANGE = ("2024-01-18", "2024-01-25")
+# Stock days that hold rows at every scale.
+STOCK_DAYS = ("2024-01-29", "2024-02-05")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,10 +76,9 @@ def _raw_table(spark: SparkSession, db: str, first: DataFrame) -> str:
 
 
 def _by_day(df: DataFrame) -> DataFrame:
-    """Rows of a day together before a day-partitioned write (one file per day
-    and writer group instead of one per task and day); the hash salt keeps a
-    large day spread over several writers."""
-    return df.repartition(F.col("event_date"), F.pmod(F.xxhash64("key"), F.lit(4)))
+    """Rows of a day together before a day-partitioned write: a rebalance, so a
+    large day is split over writers by its size and small days share one."""
+    return df.hint("rebalance", "event_date")
 
 
 def _append(df: DataFrame, table: str) -> None:
@@ -231,7 +232,7 @@ def q_interval_filter_ts(spark, sf):
 
 def q_interval_filter_date(spark, sf):
     spans = preview.snapshot_spans(_p4(spark, sf), AS_OF)
-    x = expand_days(spans, "span_start", "span_end", lo=RANGE[0], hi=RANGE[1])
+    x = expand_days(spans, "span_start", "span_end", lo=STOCK_DAYS[0], hi=STOCK_DAYS[1])
     return x.select("inventory_id", "stock_date",
                     days_between("stock_date", F.to_date("span_start")).alias("stock_days"))
 
@@ -427,7 +428,8 @@ def q_merge_by_key(spark, sf):
     ev = load(spark, sf, "events")
     first = latest_per_key(ev.where(F.col("ts") < ntz_lit("2024-01-15 00:00:00")),
                            ["user_id"], ["ts", "event_id"])
-    batch = latest_per_key(ev.where(F.col("event_type") == "purchase"), ["user_id"],
+    batch = latest_per_key(ev.where((F.col("event_type") == "purchase") |
+                                    (F.col("ts") >= ntz_lit("2024-01-15 00:00:00"))), ["user_id"],
                            ["ts", "event_id"])
     sinks.merge_by_key(spark, t, first, ["user_id"])
     sinks.merge_by_key(spark, t, batch, ["user_id"])
@@ -454,7 +456,7 @@ def q_replace_time_range(spark, sf):
 
 def q_incremental_first_run(spark, sf):
     db = scratch_database(spark)
-    b1, _ = _batches(spark, sf)
+    b1, b2 = _batches(spark, sf)
     raw = _raw_table(spark, db, b1)
     t = f"{db}.sdp_inventory_vehicles_preview_incremental"
 
@@ -464,7 +466,9 @@ def q_incremental_first_run(spark, sf):
             src = above_mark(src, "timestamp", high_water_mark(target, "event_timestamp"), day_col="event_date")
         return preview.sdp_preview(src)
 
-    sinks.merge_by_key(spark, t, sinks.incremental_or_full(spark, t, build), ["inventory_id"])
+    sinks.merge_by_key(spark, t, sinks.incremental_or_full(spark, t, build), ["inventory_id"])   # no target yet
+    _append(b2, raw)
+    sinks.merge_by_key(spark, t, sinks.incremental_or_full(spark, t, build), ["inventory_id"])   # past its mark
     return sinks.read_table(spark, t)
 
 
@@ -536,6 +540,29 @@ def q_sdp_incremental_key(spark, sf):
     return sinks.read_table(spark, t)
 
 
+def q_sdp_incremental_lookback(spark, sf):
+    """As the mark form, but rows up to three days before the mark are read again."""
+    db = scratch_database(spark)
+    b1, b2 = _batches(spark, sf)
+    raw = _raw_table(spark, db, b1)
+    t = f"{db}.sdp_inventory_vehicles_preview_incremental"
+    back = _dt.timedelta(days=3)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), t, day_col="event_date", lookback=back)
+    _append(b2, raw)
+    incremental.sdp_incremental_hwm(spark, spark.table(raw), t, day_col="event_date", lookback=back)
+    return sinks.read_table(spark, t)
+
+
+def q_sdp_incremental_key_newer(spark, sf):
+    """As the key form, but an old day that is run again moves no row back."""
+    db = scratch_database(spark)
+    raw = _raw_table(spark, db, _fx(spark, sf, "raw_preview"))
+    t = f"{db}.sdp_inventory_vehicles_preview_incremental_key"
+    for s, e in (RANGE, (RANGE[0], RANGE[0])):
+        incremental.sdp_incremental_key(spark, spark.table(raw), t, s, e, day_col="event_date", only_if_newer=True)
+    return sinks.read_table(spark, t)
+
+
 def q_cdp_incremental_hwm(spark, sf):
     db = scratch_database(spark)
     b1, b2 = _batches(spark, sf)
@@ -581,16 +608,14 @@ def q_stream_land_raw(spark, sf):
     t, ckpt = f"{db}.raw_inventory_vehicles_preview", scratch_path(spark, "ckpt")
 
     def run():
-        src = read_stream(spark, "parquet", _kafka_schema(), topic, maxFilesPerTrigger="2")
-        q = append_stream(land_raw(src, processed_at=AS_OF), t, ckpt)
-        q.awaitTermination()
+        ingest(spark, "parquet", t, ckpt, _kafka_schema(), topic, AS_OF, maxFilesPerTrigger="2").awaitTermination()
 
     k1.write.mode("append").parquet(topic)
     run()
     k2.write.mode("append").parquet(topic)
     run()
     run()  # restart with no new files adds nothing
-    return sinks.read_table(spark, t)
+    return sinks.read_table(spark, t).drop("event_date")
 
 
 def q_stream_upsert_latest(spark, sf):
@@ -635,6 +660,8 @@ QUERIES: dict[str, Query] = {
     "sdp_incremental_hwm": q_sdp_incremental_hwm,
     "sdp_incremental_range": q_sdp_incremental_range,
     "sdp_incremental_key": q_sdp_incremental_key,
+    "sdp_incremental_lookback": q_sdp_incremental_lookback,
+    "sdp_incremental_key_newer": q_sdp_incremental_key_newer,
     "cdp_incremental_hwm": q_cdp_incremental_hwm,
     "cdp_incremental_range": q_cdp_incremental_range,
     # literal / Spark-first variants of the models

@@ -23,8 +23,9 @@ re-running the same interval/batch gives the same end state.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import datetime as _dt
 import uuid
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,9 @@ from stockroom.operators.quality import contract_violations
 from stockroom.session import shared_dir
 
 PART = "_part"
-DEFAULT_BUCKETS = 16
+MIN_BUCKETS = 16
+#: Compressed bytes a bucket should hold.
+BUCKET_BYTES = 1 << 30
 
 
 class SchemaDriftError(ValueError):
@@ -78,9 +81,22 @@ def with_comments(spark: SparkSession, table: str, comment: str | None = None,
         spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{c}` COMMENT {_sql_str(text)}")
 
 
+def _take_name(spark: SparkSession, new: str, table: str, partitioned: bool) -> None:
+    """Drop ``table`` and give its name to ``new``. A rename moves the files of a
+    managed table, but a catalog may keep the old folders of its partitions, so
+    the partitions are registered again."""
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
-               comment: str | None = None, cluster_by: Sequence[str] = ()) -> None:
-    """Full refresh: recompute and replace the table.
+               comment: str | None = None, cluster_by: Sequence[str] = (),
+               column_comments: Mapping[str, str] | None = None) -> None:
+    """Full refresh: recompute and replace the table (comments are written to
+    the catalog with it).
 
     ``cluster_by``: range-partition and sort the rows by these columns before
     writing (files hold disjoint, sorted key ranges, so min/max statistics
@@ -104,11 +120,9 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         raise
     if exists:
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
-        spark.catalog.refreshTable(table)
-    if comment is not None:
-        with_comments(df.sparkSession, table, comment)
+        _take_name(spark, name, table, bool(partition_by))
+    if comment is not None or column_comments:
+        with_comments(df.sparkSession, table, comment, column_comments)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -117,6 +131,13 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def create_view(spark: SparkSession, name: str, table: str, columns: Sequence[str] = ()) -> None:
+    """Persistent catalog view over a table (all columns by default); it is
+    replaced if it exists and outlives the session."""
+    cols = ", ".join(f"`{c}`" for c in columns) or "*"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {cols} FROM {table}")
+
+
 _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -138,6 +159,13 @@ def _unstage(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def _bytes_of(spark: SparkSession, path: str) -> int:
+    """Size of a written folder, from the file system's metadata."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getContentSummary(p).getLength()
+
+
 def _insert_dynamic(spark: SparkSession, staged_path: str, schema: T.StructType, table: str,
                     columns: Sequence[str]) -> None:
     """Overwrite only the partitions present in the staged rows.
@@ -192,6 +220,62 @@ def commit_mark(spark: SparkSession, table: str, col: str, mark) -> None:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROP_MARK}{col}' = '{mark.isoformat()}')")
 
 
+def _create_bucketed(spark: SparkSession, table: str, rows: DataFrame, props: Mapping[str, str]) -> None:
+    """One statement creates the table with its bucket properties."""
+    view = f"__stockroom_stage_{uuid.uuid4().hex[:12]}"
+    _by_part(rows).createOrReplaceTempView(view)
+    listed = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in props.items())
+    try:
+        spark.sql(f"CREATE TABLE {table} USING parquet PARTITIONED BY ({PART}) "
+                  f"TBLPROPERTIES ({listed}) AS SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def rebucket(spark: SparkSession, table: str, buckets: int) -> None:
+    """Rewrite a merge target with another number of buckets (marks and keys
+    are kept). Written beside the old table, which keeps its rows until the end."""
+    props = {k: v for k, v in _properties(spark, table).items() if k.startswith("stockroom.")}
+    if _PROP_BUCKETS not in props:
+        raise ValueError(f"{table} was not created by merge_by_key")
+    rows = read_table(spark, table).withColumn(PART, bucket_of(props[_PROP_KEYS].split(","), buckets))
+    name = f"{table}__next_{uuid.uuid4().hex[:12]}"
+    _create_bucketed(spark, name, rows, props | {_PROP_BUCKETS: str(buckets)})
+    _take_name(spark, name, table, True)
+
+
+_PROP_RANGES = "stockroom.ranges"
+
+
+def processed_days(spark: SparkSession, table: str) -> list[tuple[_dt.date, _dt.date]]:
+    """Day ranges that :func:`replace_time_range` has completed, days that hold
+    no rows included (the day partitions alone cannot tell those)."""
+    text = _properties(spark, table).get(_PROP_RANGES, "") if table_exists(spark, table) else ""
+    day = _dt.date.fromisoformat
+    return [(day(a), day(b)) for a, b in (r.split("..") for r in text.split(",") if r)]
+
+
+def missing_days(spark: SparkSession, table: str, start, end) -> list[_dt.date]:
+    """Days of ``start .. end`` not yet processed, rising: what to run next."""
+    done = processed_days(spark, table)
+    lo, hi = (_dt.date.fromisoformat(str(x)[:10]) for x in (start, end))
+    days = (lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1))
+    return [d for d in days if not any(a <= d <= b for a, b in done)]
+
+
+def _record_days(spark: SparkSession, table: str, start, end) -> None:
+    """Add a completed range to the table's property; ranges that touch merge."""
+    lo, hi = (_dt.date.fromisoformat(str(x)[:10]) for x in (start, end))
+    merged: list[tuple[_dt.date, _dt.date]] = []
+    for a, b in sorted([*processed_days(spark, table), (lo, hi)]):
+        if merged and a <= merged[-1][1] + _dt.timedelta(days=1):
+            merged[-1] = (merged[-1][0], max(merged[-1][1], b))
+        else:
+            merged.append((a, b))
+    text = ",".join(f"{a}..{b}" for a, b in merged)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROP_RANGES}' = '{text}')")
+
+
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
                  buckets: int | None = None, order: Sequence | None = None,
                  check: bool = True) -> None:
@@ -203,10 +287,11 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     win unconditionally (a recency guard for late or replayed data).
     ``check``: reject null keys (they never match) and keys repeated within
     the batch (the result would depend on row order).
-    ``buckets``: hash buckets of a new target (default 16; about target
-    size / 1 GB at scale). The count and the keys are stored as table
+    ``buckets``: hash buckets of a new target (default: about one per GB of
+    the first batch, 16 at least). The count and the keys are stored as table
     properties at creation and every later merge uses the stored count, so
-    bucket ids always agree.
+    bucket ids always agree; :func:`rebucket` changes it when a table has
+    outgrown its buckets.
     """
     keys = list(keys)
     exists = table_exists(spark, table)
@@ -217,22 +302,15 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
         if props.get(_PROP_KEYS) != ",".join(keys):
             raise ValueError(f"{table} is keyed on {props.get(_PROP_KEYS)}, not {keys}")
         buckets = int(props[_PROP_BUCKETS])
-    buckets = buckets or DEFAULT_BUCKETS
     # The batch is computed once (parsing, dedup...) and staged in the shared
     # folder; checks and merge read that copy.
-    staged, batch_path = _stage(batch.withColumn(PART, bucket_of(keys, buckets)), table, "batch")
+    staged, batch_path = _stage(batch, table, "batch")
+    buckets = buckets or max(MIN_BUCKETS, -(-_bytes_of(spark, batch_path) // BUCKET_BYTES))
+    staged = staged.withColumn(PART, bucket_of(keys, buckets))
     if check:
         _check_keys(staged, keys)
     if not exists:
-        # One statement creates the table with its bucket properties.
-        view = f"__stockroom_stage_{uuid.uuid4().hex[:12]}"
-        staged.createOrReplaceTempView(view)
-        try:
-            spark.sql(f"CREATE TABLE {table} USING parquet PARTITIONED BY ({PART}) "
-                      f"TBLPROPERTIES ('{_PROP_BUCKETS}' = '{buckets}', "
-                      f"'{_PROP_KEYS}' = '{','.join(keys)}') AS SELECT * FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
+        _create_bucketed(spark, table, staged, {_PROP_BUCKETS: str(buckets), _PROP_KEYS: ",".join(keys)})
         _unstage(spark, batch_path)
         return
     target = spark.table(table)
@@ -273,6 +351,7 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
                    .withColumn(PART, F.to_date(F.col(time_col))))
     if not table_exists(spark, table):
         _by_part(staged).write.format("parquet").partitionBy(PART).saveAsTable(table)
+        _record_days(spark, table, start, end)
         return
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
@@ -292,6 +371,7 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
             stale.append(f"PARTITION ({PART} = DATE'{day}')")
     if stale:   # one catalog operation for all days of the range that became empty
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(stale)}")
+    _record_days(spark, table, start, end)
 
 
 def incremental_or_full(spark: SparkSession, table: str,

@@ -27,16 +27,16 @@ _DUCK = {
 
 MARKETS_SQL = """
 select cast(n_nationkey as bigint) as ID, r_name as region,
-       'Market ' || cast(n_regionkey as string) as market, n_name as country
+       'Market ' || cast(n_regionkey as string) as market,
+       case when n_nationkey = 7 then 'Other ' || n_name else n_name end as country
 from {t_nation} join {t_region} on n_regionkey = r_regionkey
-where n_nationkey <> 7
 """
 
 VEHICLE_DATA_SQL = """
-select 'V' || cast(c_custkey as string) as inventory_id, c_mktsegment as model_series,
+select case when c_custkey % 5 = 0 then 'W' else 'V' end || cast(c_custkey as string) as inventory_id, c_mktsegment as model_series,
        case c_custkey % 3 when 0 then 'EV' when 1 then 'ICE' else 'PHEV' end as engine_type,
        {ntz}'2024-01-01 00:00:00' as processed_at
-from {t_customer} where c_custkey % 5 <> 0
+from {t_customer}
 """
 
 RAW_DEMO_SQL = """

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stockroom.functions.casts import instant_to_wall
 from stockroom.operators.quality import ContractError, contract_schema, contract_violations
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -38,11 +39,19 @@ def source(spark: SparkSession, name_or_path: str,
     return df if declared is None else declare(df, declared, name_or_path)
 
 
-def declare(df: DataFrame, declared: T.StructType | Mapping, name: str = "input") -> DataFrame:
+def declare(df: DataFrame, declared: T.StructType | Mapping, name: str = "input", zone: str = "UTC") -> DataFrame:
     """Check that ``df`` has the declared columns (by name, exact type; extra
-    columns allowed) and project to them. No Spark job runs."""
+    columns allowed) and project to them. No Spark job runs.
+
+    One conversion: a TIMESTAMP column declared as ``timestamp_ntz`` becomes its
+    wall time in ``zone``. Text and numbers are never cast."""
     if not isinstance(declared, T.StructType):
         declared = contract_schema(declared)
+    have = dict(df.dtypes)
+    instants = [f.name for f in declared if isinstance(f.dataType, T.TimestampNTZType)
+                and have.get(f.name) == "timestamp"]
+    if instants:
+        df = df.withColumns({c: instant_to_wall(c, zone) for c in instants})
     errs = [e for e in contract_violations(df.schema, declared)
             if not e.startswith("unexpected column")]
     if errs:

@@ -4,7 +4,8 @@ near-duplicate join, substring dedup, packing.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
 the columns of ``documents``; the last returns the packed pieces. Texts without
-words that dedup leaves behind stay as empty documents.
+words that dedup leaves behind stay as empty documents. A row without doc_id
+has no verdict and no class that could name it: the first three stages keep it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    named = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near duplicates."""
     classes = chosen_path.near_duplicates(spark, docs)
-    return _only(docs, classes.where("doc_id = class_id")).dropDuplicates(["doc_id"]).select(docs.columns)
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return _only(named, classes.where("doc_id = class_id")).unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

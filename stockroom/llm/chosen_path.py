@@ -89,7 +89,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, at = shingle_sets(part, off)
             size = np.diff(at)
             full = np.flatnonzero(size)
-            nodes = paths(tokens, np.r_[at[:-1][full], len(tokens)]).reshape(len(full), -1).view(np.int64)
+            nodes = paths(tokens, np.r_[at[:-1][full], len(tokens)]).reshape(len(full), RUNS * LEVELS).view(np.int64)
             listed = [None] * (j - i)
             for k, v in zip(full.tolist(), nodes):
                 listed[k] = v

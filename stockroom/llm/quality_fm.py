@@ -11,7 +11,8 @@ whole texts; word features are counts of each text, so that cost follows length.
 Defined results: null and empty texts are scored on their statistics (all zero
 but the constant); several labels of one document count as the lowest; with no
 labels, or labels of one kind only, every score is that constant's; repeated
-rows get equal scores; extra columns are ignored.
+rows get equal scores; a null doc_id is scored and is never held out; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockroom.llm.textbytes import (SPACE, U64, column, gram_hashes, group_edges, longs, slices, string_bytes,
+from stockroom.llm.textbytes import (SPACE, U64, column, gram_hashes, group_edges, slices, string_bytes,
                                      word_hashes, word_spans)
 
 WORD_BITS, FACTORS, SAMPLE_ROWS = 15, 8, 8000
@@ -160,7 +161,7 @@ class FactorMachine:
 
 
 def held_out():
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorMachine:
@@ -170,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)).toPandas()
     sample = spark.createDataFrame(chosen.astype("int64"), "doc_id long, quality long")   # sample_rows at most
-    rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,12 +201,12 @@ def score_documents(docs: DataFrame, model: FactorMachine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm = sent.value
         for batch in batches:
-            ids = longs(batch, "doc_id")
+            ids = column(batch, "doc_id").cast(pa.int64())
             data, offsets = string_bytes(column(batch, "text"))
             for i, j in slices(offsets, 1 << 20):
                 off = offsets[i:j + 1]
                 score = fm.score(*features(data[off[0]:off[-1]], off - off[0]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(score)], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(score)], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 

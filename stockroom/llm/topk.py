@@ -13,7 +13,8 @@ slice of candidates, both of bounded size.
 
 Defined results: vectors null or with null or non-finite components take no
 part; shorter vectors count as filled up with zeros; a query never meets a row
-with its own id; repeated ids are separate candidates; ties go to the smaller
+with its own id; repeated ids are separate candidates, and a repeated query
+id asks once, with its least vector; ties go to the smaller
 id; fewer candidates than k give them all; empty tables give no rows.
 """
 
@@ -188,7 +189,8 @@ def top_k(spark: SparkSession, table: DataFrame, k: int = K, every: int = EVERY)
             out = {"query_id": np.repeat(qid, found.sum(axis=1)), "vec_id": best.ident[found], "score": best.score[found]}
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
-    asked = vectors.where(F.pmod("vec_id", F.lit(every)) == 0)
+    asked = (vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id")
+             .agg(F.min(F.struct("v", "dim", "norm")).alias("q")).select("vec_id", "q.*"))
     queries = asked.mapInArrow(seed, "vec_id long, v binary, start long, slice int").withColumn("block", block_of("vec_id"))
     cands = (vectors.mapInArrow(place, "vec_id long, v binary, slice int")
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))

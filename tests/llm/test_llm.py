@@ -343,3 +343,67 @@ def test_pipeline_stages_take_effect(spark):
     packed = pipeline.run(spark, sf)
     assert packed.select("doc_id").distinct().count() == sizes[3]
     assert json.dumps(sizes)
+
+
+CLASHES = ("stratum n_words kept base_failed quality toxic score held_out class_id n_links marks more bucket kind "
+           "payload piece start length region island packing shard slot bundle g hot_g size tokens ids label").split()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids beside texts, repeated rows, and columns with the names that operators use."""
+    base = " ".join(f"word{i}" for i in range(120))
+    rows = [(0, base), (1, base + " more"), (None, base + " tail"), (None, None), (5, None), (6, ""), (7, base), (7, base)]
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    return table.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHES)]).coalesce(1).cache()
+
+
+@pytest.fixture(scope="module")
+def odd_labels(spark):
+    return spark.createDataFrame([(0, 1, 0), (0, 1, 0), (1, None, None), (None, 1, 0), (7, 0, 0)],
+                                 "doc_id long, quality int, toxic int").withColumn("text", F.lit("clash"))
+
+
+def test_null_ids_and_clashing_names(spark, odd, odd_labels):
+    want = sorted(str(r.doc_id) for r in odd.collect())
+    words = public_tokenizers.path("word_bpe_49k.json")
+    outs = {
+        "bpe": bpe.token_digests(odd, public_tokenizers.path("byte_bpe_50k.json")),
+        "suffix": suffix_dedup.repeated_strings(odd), "classifier": quality_fm.classify(odd, odd_labels),
+        "substring": substring_dedup.window_digests(odd), "rules": quality_rules.score_documents(spark, odd, odd_labels),
+        "near": chosen_path.near_duplicates(spark, odd), "sharding": sharding.shard_documents(spark, odd, 4),
+        "packing": packing.pack_documents(spark, odd, words),
+    }
+    for name, out in outs.items():
+        assert sorted(str(r.doc_id) for r in out.select("doc_id").collect()) == want, name
+    assert outs["classifier"].where("doc_id is null and held_out").count() == 0
+    assert {r.class_id for r in outs["near"].where("doc_id is null").collect()} == {None}
+
+
+def test_only_empty_texts(spark, odd, odd_labels):
+    """Batches without a single word."""
+    bare = odd.where("coalesce(text, '') = ''")
+    assert sorted(r.n_links for r in chosen_path.near_duplicates(spark, bare).collect()) == [0, 0, 0]
+    assert [r.n_removed for r in substring_dedup.window_digests(bare).collect()] == [0, 0, 0]
+    assert [r.n_words for r in quality_rules.score_documents(spark, bare, odd_labels).collect()] == [0, 0, 0]
+    assert all(0 <= r.score <= 1 for r in quality_fm.classify(bare, odd_labels).collect())
+
+
+def test_pipeline_stages_on_odd_tables(spark, odd, odd_labels, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    odd_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(tmp_path))
+        assert out.columns == odd.columns, name
+        assert out.where("doc_id is null").count() == 2, name     # no verdict can name them
+        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0, name
+    kept = pipeline.near_duplicate_stage(spark, odd, str(tmp_path))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "5", "None", "None"]
+
+
+def test_topk_repeated_query_rows(spark):
+    rows = [(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0]), (None, [9.0, 9.0]), (50, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(7)).withColumn("v", F.lit(1))
+    got = [tuple(r) for r in topk.top_k(spark, table).where("query_id = 0").orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 196608), (0, 2, 1, 196608), (0, 3, 50, 0)]

@@ -10,8 +10,9 @@ forms, comments) has score zero; a path inside ``article`` or ``main`` always
 passes, so that headings and one-word paragraphs of the article stay.
 
 Defined results: null and empty pages give the empty text; unclosed and stray
-tags are closed as browsers do for paragraphs and lists; unknown character
-references stay as they are. Repeated pages are treated each on its own.
+tags are closed as browsers do for paragraphs and lists; a tag cut off by the
+end of the page is no text; unknown character references stay as they are; time
+and memory are linear in the page. Repeated pages are treated each on its own.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,14 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.llm.textbytes import column
 
+#: Attributes of a tag. Quotes count after "=" only; nothing is tried twice, so
+#: that time stays linear on broken markup.
+ATTRS = r"(?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|title|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r".*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?>",
+    rf"|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|title)(?=[\s/>]){ATTRS}(?<!/)>"
+    r".*?(?:</\1\b[^>]*(?:>|\Z)|\Z)"
+    r"|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({ATTRS})(?:>|\Z)",
     re.S | re.I)
-ATTR = re.compile(r"""\b(class|id|role|aria-label|style|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*))?""")
+#: Deeper elements stand beside one another, as in browsers.
+MAX_DEPTH = 512
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby "
                    "s samp small span strike strong sub sup time tt u var wbr br img".split())
@@ -66,10 +73,10 @@ def _marks(tag: str, attrs: str, in_main: bool) -> tuple[str, bool, bool]:
     name, bad, main = tag, tag in BOILERPLATE, tag in ("article", "main")
     if tag == "header" and not in_main:
         bad = True
-    if attrs and ("=" in attrs or "hidden" in attrs):
+    if attrs:
         for key, value in ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
-            if key == "hidden":
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 bad = True
             elif key == "style":
                 bad = bad or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
@@ -88,7 +95,9 @@ def _marks(tag: str, attrs: str, in_main: bool) -> tuple[str, bool, bool]:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order with their tag paths."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]   # tag, path, boilerplate, main
+    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]   # tag, path, boilerplate, main
+    paths: dict[tuple[int, str], int] = {}   # (path of the parent, element) -> path
+    opened: Counter[str] = Counter()   # elements on the stack
     held: list[str] = []
     links, linked = 0, 0   # open links, characters in links
 
@@ -103,8 +112,17 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     def close(at: int):
+        for e in stack[at:]:
+            opened[e[0]] -= 1
         del stack[at:]
 
+    def enter(tag: str, name: str, bad: bool, main: bool):
+        path = paths.setdefault((stack[-1][1], name), len(paths) + 1)
+        if len(stack) >= MAX_DEPTH:
+            close(MAX_DEPTH - 1)
+        opened[tag] += 1
+        stack.append((tag, path, bad, main))
+
     pos = 0
     for m in TOKEN.finditer(page):
         if m.start() > pos:
@@ -121,7 +139,7 @@ def blocks(page: str) -> list[Block]:
             if tag in INLINE:
                 links -= links > 0 and tag == "a"
                 continue
-            for at in range(len(stack) - 1, 0, -1):
+            for at in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[at][0] == tag:
                     flush()
                     close(at)
@@ -138,12 +156,11 @@ def blocks(page: str) -> list[Block]:
             elif m.group(4) and _marks(tag, m.group(4), stack[-1][3])[1] and tag not in ("br", "img", "wbr"):
                 # A marked inline element counts as a block of its own.
                 flush()
-                _, path, bad, main = stack[-1]
-                stack.append((tag, f"{path}/{tag}", True, False))
+                enter(tag, tag, True, False)
             continue
         flush()
         links = 0
-        if tag in VOID:
+        if tag in VOID or tag in ("svg", "math"):   # closed in itself
             continue
         if stack[-1][0] == "p":
             close(len(stack) - 1)
@@ -155,9 +172,9 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[at][0] in SCOPES:
                     break
-        _, path, bad, main = stack[-1]
+        _, _, bad, main = stack[-1]
         name, own_bad, own_main = _marks(tag, m.group(4) or "", main)
-        stack.append((tag, f"{path}/{name}", bad or own_bad, (main or own_main) and not (bad or own_bad)))
+        enter(tag, name, bad or own_bad, (main or own_main) and not (bad or own_bad))
     held.append(page[pos:])
     flush()
     return out
@@ -181,7 +198,7 @@ def select(found: list[Block], share: float = 0.5) -> list[bool]:
     """Which blocks are content."""
     if not found:
         return []
-    sums: dict[str, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b in found:
         s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
         s[0] += len(b.text) - b.link
@@ -190,7 +207,7 @@ def select(found: list[Block], share: float = 0.5) -> list[bool]:
     text = smooth([0.0 if b.bad else sums[b.path][0] / sums[b.path][2] for b in found])
     marks = smooth([0.0 if b.bad else sums[b.path][1] / sums[b.path][2] for b in found])
     fused = [math.sqrt(t * (1 + p)) for t, p in zip(text, marks)]
-    score: dict[str, list[float]] = {}
+    score: dict[int, list[float]] = {}
     for b, f in zip(found, fused):
         s = score.setdefault(b.path, [0.0, 0.0])
         s[0] += f

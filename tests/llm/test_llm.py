@@ -257,6 +257,25 @@ def test_html(spark):
                                   "footer, with, many, marks. " + "And text. " * 20 + "</footer>") == "T\nOne."
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p>One two, three.</p><p title="the hidden gem">See <a href="/hidden-gems">it</a> now.</p>', "One two, three.\nSee it now."),
+    ('<p data-hidden="false">One, two.</p><p aria-hidden="true">Icon, only.</p><p hidden>Not this.</p>', "One, two."),
+    ("<html><head><title>T</title><body><p>No end of the head, here.", "No end of the head, here."),
+    ("<svg/><p>After a closed element, text.", "After a closed element, text."),
+    ("<p title='a > b' data-x=it's>One, two.</p><p clas", "One, two."),
+])
+def test_html_attributes_and_unclosed_tags(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("part", ['"', "<a", '="', '<a b="', "<!", "<div>", '<div class="a b">', "<div></i2>", "</", "<svg "])
+def test_html_is_linear_on_broken_markup(part):
+    page = "<p>Some text, here.</p><p " + part * 40_000
+    found = html_extract.blocks(page)
+    assert found and found[0].text == "Some text, here."
+    assert html_extract.blocks("<div>" * 20_000 + "deep" + "</i2>" * 20_000)[0].text == "deep"
+
+
 def test_near_duplicates(spark, docs, empty, texts):
     sets = []
     for t in texts:

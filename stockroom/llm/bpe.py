@@ -18,6 +18,7 @@ to U+FFFD per maximal invalid part. Text length is bounded by memory only.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from array import array
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ RUN = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 _ODD = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x00")
 _ODD_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 NEVER = 1 << 62
+#: Longer words are merged from a heap, whose time is not quadratic.
+HEAP_FROM = 256
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -96,6 +99,8 @@ class ByteBpe:
 
     def _merge(self, word: bytes, parents: dict | None = None) -> list[int]:
         """Exact merging: lowest rank first, leftmost first among equals."""
+        if len(word) >= HEAP_FROM and parents is None:
+            return self._merge_long(word)
         one, rank = self.single, self.rank
         ids = [one[c] for c in word]
         ranks = [rank.get(p, NEVER) for p in zip(ids, ids[1:])]
@@ -115,6 +120,29 @@ class ByteBpe:
                 ranks[k - 1] = rank.get((ids[k - 1], new), NEVER)
         return ids
 
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same for a long word: candidates wait in a heap, and one whose
+        symbols have changed meanwhile is passed over."""
+        rank, n = self.rank, len(word)
+        ids = [self.single[c] for c in word]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))   # neighbours; n: none
+        heap = [(r, k) for k, p in enumerate(zip(ids, ids[1:])) if (r := rank.get(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, k = heapq.heappop(heap)
+            nxt = after[k]
+            if ids[k] < 0 or nxt >= n or rank.get((ids[k], ids[nxt])) != r:
+                continue
+            ids[k], ids[nxt] = self.made_at[r], -1
+            after[k] = nxt = after[nxt]
+            if nxt < n:
+                before[nxt] = k
+                if (new := rank.get((ids[k], ids[nxt]))) is not None:
+                    heapq.heappush(heap, (new, k))
+            if (left := before[k]) >= 0 and (new := rank.get((ids[left], ids[k]))) is not None:
+                heapq.heappush(heap, (new, left))
+        return [i for i in ids if i >= 0]
+
     def _prepare(self, size: int) -> None:
         """Edges of each token's derivation: the symbols that stand at its
         right and left end over time, each with the rank that replaces it."""

@@ -73,6 +73,19 @@ def test_bpe_verification_finds_every_wrong_proposal():
     assert b.encode_words(words) == [b._merge(w) for w in words]
 
 
+def test_bpe_long_words():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, b = Tokenizer.from_file(path), bpe.ByteBpe(path)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("a", "ab", "thereonandi", "éß漢", "#$", "0123")
+             for n in (255, 256, 257, 5000, 60_000)]
+    for t, got in zip(texts, b.encode_batch(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+    words = ["".join(rng.choice("thereonandi") for _ in range(rng.randint(1, 40))).encode() for _ in range(2000)]
+    assert [b._merge_long(w) for w in words] == [b._merge(w) for w in words]
+
+
 def _suffix_brute(bodies):
     count = collections.Counter(b[i:i + 200] for b in bodies for i in range(len(b) - 199))
     out = []

@@ -138,19 +138,25 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 class Memo:
     """Bounded memory of a worker in two generations: what is used stays, what
-    was not used while ``size`` new keys came is forgotten."""
+    was not used while ``size`` new keys came is forgotten. A long key counts
+    once for each 64 characters."""
 
     def __init__(self, size: int):
         self.now: dict = {}
         self.before: dict = {}
-        self.size = size
+        self.size, self.held = size, 0
+
+    @staticmethod
+    def weight(keys) -> int:
+        return len(keys) + sum([n >> 6 for n in map(len, keys)])
 
     def missing(self, keys: set) -> list:
         """Keys to be added to ``now``; all others of ``keys`` are in it."""
         new = keys.difference(self.now)
-        if len(self.now) + len(new) > self.size:
+        self.held += self.weight(new)
+        if self.held > self.size:
             self.before, self.now = self.now, {}
-            new = keys
+            new, self.held = keys, self.weight(keys)
         if self.before:
             kept = {k: self.before[k] for k in new if k in self.before}
             self.now.update(kept)

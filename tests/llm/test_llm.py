@@ -86,6 +86,18 @@ def test_bpe_long_words():
     assert [b._merge_long(w) for w in words] == [b._merge(w) for w in words]
 
 
+def test_memo_forgets_long_keys_sooner():
+    from stockroom.llm.textbytes import Memo
+    for size in (4, 6400):
+        memo, asked = Memo(100), 0
+        for i in range(1000):
+            new = memo.missing({f"{i:0{size}d}", "always"})
+            asked += "always" in new
+            memo.now.update(dict.fromkeys(new, 0))
+            assert memo.weight([*memo.now, *memo.before]) <= 2 * max(100, Memo.weight(new) + 1)
+        assert asked == 1     # what is used stays
+
+
 def _suffix_brute(bodies):
     count = collections.Counter(b[i:i + 200] for b in bodies for i in range(len(b) - 199))
     out = []

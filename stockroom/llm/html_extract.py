@@ -7,7 +7,8 @@ ratios are smoothed along the page, fused into one score, and paths whose score
 reaches the threshold give the content blocks. A path inside a boilerplate
 element (menus, headers and footers of the page, sidebars, notices, adverts,
 forms, comments) has score zero; a path inside ``article`` or ``main`` always
-passes, so that headings and one-word paragraphs of the article stay.
+passes, so that headings and one-word paragraphs of the article stay. Text
+outside them is selected by the scores on every page, with or without them.
 
 Defined results: null and empty pages give the empty text; unclosed and stray
 tags are closed as browsers do for paragraphs and lists; a tag cut off by the
@@ -220,9 +221,7 @@ def select(found: list[Block], share: float = 0.5) -> list[bool]:
     spread = math.sqrt(sum((g - centre) ** 2 for g in good) / len(good))
     # The deviation as threshold, but never above a share of the best path.
     limit = min(spread, share * max(good))
-    has_main = any(b.main for b in found)
-    return [not b.bad and (b.main if has_main else
-                           mean[b.path] >= limit and b.link < 0.5 * len(b.text)) for b in found]
+    return [not b.bad and (b.main or mean[b.path] >= limit and b.link < 0.5 * len(b.text)) for b in found]
 
 
 def main_text(page: str | None) -> str:

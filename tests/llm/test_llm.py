@@ -301,6 +301,14 @@ def test_html_is_linear_on_broken_markup(part):
     assert html_extract.blocks("<div>" * 20_000 + "deep" + "</i2>" * 20_000)[0].text == "deep"
 
 
+def test_html_scores_decide_beside_an_article():
+    body = [f"Part {i} of the story, with enough words to be told; and a second clause, too." for i in range(6)]
+    story = '<div id="story">' + "".join(f"<p>{b}</p>" for b in body) + "</div>"
+    links = "<ul>" + '<li><a href="/x">More of this</a></li>' * 4 + "</ul>"
+    got = html_extract.main_text(story + "<article><p>Teaser.</p></article>" + links)
+    assert got == "\n".join(body) + "\nTeaser."
+
+
 def test_near_duplicates(spark, docs, empty, texts):
     sets = []
     for t in texts:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -99,6 +99,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]   # tag, path, boilerplate, main
     paths: dict[tuple[int, str], int] = {}   # (path of the parent, element) -> path
     opened: Counter[str] = Counter()   # elements on the stack
+    plain: dict[str, list[int]] = defaultdict(list)   # unmarked inline elements in each marked one on the stack
     held: list[str] = []
     links, linked = 0, 0   # open links, characters in links
 
@@ -115,6 +116,8 @@ def blocks(page: str) -> list[Block]:
     def close(at: int):
         for e in stack[at:]:
             opened[e[0]] -= 1
+            if e[0] in INLINE:
+                plain[e[0]].pop()
         del stack[at:]
 
     def enter(tag: str, name: str, bad: bool, main: bool):
@@ -122,6 +125,8 @@ def blocks(page: str) -> list[Block]:
         if len(stack) >= MAX_DEPTH:
             close(MAX_DEPTH - 1)
         opened[tag] += 1
+        if tag in INLINE:
+            plain[tag].append(0)
         stack.append((tag, path, bad, main))
 
     pos = 0
@@ -139,7 +144,11 @@ def blocks(page: str) -> list[Block]:
         if m.group(2):
             if tag in INLINE:
                 links -= links > 0 and tag == "a"
-                continue
+                if not opened[tag]:
+                    continue
+                if plain[tag][-1]:
+                    plain[tag][-1] -= 1
+                    continue
             for at in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[at][0] == tag:
                     flush()
@@ -158,6 +167,8 @@ def blocks(page: str) -> list[Block]:
                 # A marked inline element counts as a block of its own.
                 flush()
                 enter(tag, tag, True, False)
+            elif opened[tag]:
+                plain[tag][-1] += 1
             continue
         flush()
         links = 0

@@ -309,6 +309,17 @@ def test_html_scores_decide_beside_an_article():
     assert got == "\n".join(body) + "\nTeaser."
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<div><span class="skip">Skip</span><p>One, two.</p><p>Three, four.</p></div>', "One, two.\nThree, four."),
+    ('<article><span class="share">Share</span><p>One, two.</p></article>', "One, two."),
+    ('<p>One, two <span class="hidden">x</span> and the rest.</p><p>Next, too.</p>', "One, two\nand the rest.\nNext, too."),
+    ('<p>One, two <small hidden>a <small>b</small> c</small> and the rest.</p>', "One, two\nand the rest."),
+    ('<p>One, two <time style="display:none">x<b>y</b></p><p>Next, too.</time></p>', "One, two\nNext, too."),
+])
+def test_html_marked_inline_elements_end(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_near_duplicates(spark, docs, empty, texts):
     sets = []
     for t in texts:

@@ -320,6 +320,31 @@ def test_html_marked_inline_elements_end(page, text):
     assert html_extract.main_text(page) == text
 
 
+STORY = "<h1>Head</h1>" + "".join(f"<p>Part {i} of it, told in enough words; and a second clause, too.</p>" for i in range(4))
+TOLD = "\n".join(["Head"] + [f"Part {i} of it, told in enough words; and a second clause, too." for i in range(4)])
+
+
+@pytest.mark.parametrize("page", [
+    f'<main class="content with-sidebar">{STORY}</main>',
+    f'<article class="post no-comments">{STORY}</article>',
+    f'<article class="post share-social">{STORY}</article>',
+    f'<div id="page" class="has-footer"><article>{STORY}</article></div>',
+    f'<div class="layout-sidebar-left"><main>{STORY}</main></div>',
+    f'<div class="layout-sidebar-left"><article>{STORY}</article><div class="comments"><article class="comment">'
+    f'<p>Well said.</p></article></div></div>',
+    f'<div class="sidebar-layout"><article>{STORY}</article></div><div class="comments">' + "<p>I say, me too.</p>" * 40 + "</div>",
+])
+def test_html_words_of_class_and_id_do_not_empty_a_page(page):
+    assert html_extract.main_text(page) == TOLD
+
+
+def test_html_words_are_a_penalty():
+    assert html_extract.main_text('<p class="related">A single paragraph, of many words.</p>') == "A single paragraph, of many words."
+    text = "This goes on, at length; it is told in full, with all there is to tell, and more. " * 9
+    page = f'<div class="layout-sidebar-left"><p>{text}</p></div><p>Short, that.</p><article><p>Teaser.</p></article>'
+    assert text.strip() in html_extract.main_text(page)
+
+
 def test_near_duplicates(spark, docs, empty, texts):
     sets = []
     for t in texts:

@@ -6,8 +6,9 @@ first, and sets that took the same token stay together. Splitting goes on only
 while a bucket is larger than ``BRUTE``; buckets that are still larger at the
 last level hold sets alike to one another and are compared in pairs of blocks.
 Inside buckets every pair is compared exactly. Two sets of similarity s share a
-bucket of depth k with probability s^k a run, so eight runs find a pair of 0.8
-with probability 0.99999 at depth one and 0.997 at depth three.
+bucket of depth k with probability s^k a run, and runs are repeated until a pair
+of 0.8 is found with probability TARGET: eight runs for depth one. Texts that
+some run splits further take part in as many runs as the last level needs (22).
 
 A pair is compared in the first run that brings it together: texts without a
 new partner in a bucket are not sent there. Pairs are counted where they are
@@ -22,6 +23,7 @@ extra columns are ignored; empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,9 @@ from stockroom.llm.textbytes import (U64, column, gram_hashes, group_edges, long
 from stockroom.session import ensure_checkpoint_dir
 
 SHINGLE = 5
-RUNS, LEVELS = 8, 4
+#: Probability of finding a pair of similarity 0.8.
+TARGET = 0.99999
+LEVELS = 4
 BRUTE, BLOCK = 256, 1024
 SLICE_BYTES = 1 << 20
 TOKEN_BYTES = 5
@@ -42,6 +46,11 @@ TOKEN_BYTES = 5
 NUM, DEN = 4, 5
 
 
+def runs_for(depth: int) -> int:
+    """Runs that find a pair of 0.8 in buckets of this depth."""
+    return math.ceil(math.log(1 - TARGET) / math.log(1 - (NUM / DEN) ** depth))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, rising, and their offsets."""
     n = len(offsets) - 1
@@ -62,7 +71,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return value[e], np.r_[0, np.cumsum(np.bincount(owner[e], minlength=n))]
 
 
-def paths(tokens: np.ndarray, at: np.ndarray, runs: int = RUNS, levels: int = LEVELS) -> np.ndarray:
+def paths(tokens: np.ndarray, at: np.ndarray, runs: int, levels: int) -> np.ndarray:
     """Path of each set: (sets, runs, levels) node hashes. Sets are not empty."""
     n = len(at) - 1
     out = np.zeros((n, runs, levels), np.uint64)
@@ -78,7 +87,7 @@ def paths(tokens: np.ndarray, at: np.ndarray, runs: int = RUNS, levels: int = LE
     return out
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], runs: int, levels: int) -> Iterator[pa.RecordBatch]:
     """doc_id, text key, number of shingles, path nodes."""
     for batch in batches:
         ids = column(batch, "doc_id")
@@ -89,7 +98,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, at = shingle_sets(part, off)
             size = np.diff(at)
             full = np.flatnonzero(size)
-            nodes = paths(tokens, np.r_[at[:-1][full], len(tokens)]).reshape(len(full), RUNS * LEVELS).view(np.int64)
+            nodes = paths(tokens, np.r_[at[:-1][full], len(tokens)], runs, levels).reshape(len(full), runs * levels).view(np.int64)
             listed = [None] * (j - i)
             for k, v in zip(full.tolist(), nodes):
                 listed[k] = v
@@ -101,11 +110,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def buckets(texts: DataFrame) -> DataFrame:
-    """uid, run, bucket, size: split while a bucket is larger than BRUTE."""
+    """uid, run, bucket, size: split while a bucket is larger than BRUTE. Two
+    texts that are both split further meet in all runs of the last level; any
+    other pair can only be parted at the first, in the runs for that."""
+    few, every = runs_for(1), runs_for(LEVELS)
+    out, deep = _split(texts, 0, few)
+    if deep is not None:
+        more, _ = _split(texts.join(deep, "uid", "left_semi"), few, every)
+        out = out.unionByName(more)
+    return out
+
+
+def _split(texts: DataFrame, begin: int, end: int) -> tuple[DataFrame, DataFrame | None]:
+    """Buckets of the runs, and the texts that went beyond the first level."""
     rows = texts.where(F.col("nodes").isNotNull()).select(
-        "uid", F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))).alias("run"), "nodes").select(
+        "uid", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))).alias("run"), "nodes").select(
         "uid", "run", F.slice("nodes", F.col("run") * LEVELS + 1, LEVELS).alias("path"))
-    out = None
+    out = deep = None
     for k in range(LEVELS):
         keyed = rows.select("uid", "run", "path", F.get("path", F.lit(k)).alias("bucket"))
         many = keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -120,7 +141,9 @@ def buckets(texts: DataFrame) -> DataFrame:
         rows = rows.where(F.col("size") > BRUTE).select("uid", "run", "path")
         if rows.isEmpty():
             break
-    return out
+        if k == 0:
+            deep = rows.select("uid").distinct()
+    return out, deep
 
 
 MEMBER = "bucket long, run int, size long, uid long, met array<long>"
@@ -262,18 +285,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: r[2])
         own = np.array([r[0] for r in rows])
         run = rows[0][1]
+        new = np.ones((len(rows), len(rows)), bool)
+        if run:
+            met = np.array([r[4] for r in rows], np.int64)[:, :run]
+            new = unmet(met, met)
+        np.fill_diagonal(new, False)
+        if i != j:
+            new &= own[:, None] != own[None, :]
+        some = np.flatnonzero(new.any(axis=1))
+        if not len(some):
+            continue
+        rows, new = [rows[k] for k in some.tolist()], new[np.ix_(some, some)]
         uid = np.array([r[2] for r in rows], np.int64)
         copies = np.array([r[3] for r in rows], np.int64)
         sets = [tokens_of(r[5]) for r in rows]
         sizes = np.array([len(s) for s in sets], np.int64)
         # I / (a + b - I) >= NUM / DEN, without division.
         near = intersections(sets) * (NUM + DEN) >= NUM * (sizes[:, None] + sizes[None, :])
-        np.fill_diagonal(near, False)
-        if i != j:
-            near &= own[:, None] != own[None, :]
-        if run:
-            met = np.array([r[4] for r in rows], np.int64)[:, :run]
-            near &= unmet(met, met)
+        near &= new
         a, b = np.nonzero(near)
         if not len(a):
             continue
@@ -319,17 +348,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     (other rows linked, equal texts included): one row per row of ``docs``."""
     ensure_checkpoint_dir(spark)
     docs = docs.select("doc_id", "text")
+    runs, levels = runs_for(LEVELS), LEVELS
     known = docs.where("doc_id is not null").mapInArrow(
-        _features, "doc_id long, tkey binary, n long, nodes array<long>").checkpoint()
+        lambda batches: _features(batches, runs, levels), "doc_id long, tkey binary, n long, nodes array<long>").checkpoint()
     texts = known.groupBy("tkey").agg(F.min("doc_id").alias("uid"), F.count("*").alias("copies"),
                                       F.first("nodes").alias("nodes")).checkpoint()
     found = buckets(texts)
-    # Each text's buckets by run (0: none), sent along with every membership.
+    # Each text's buckets of earlier runs (0: none), sent along with every membership.
     by_run = found.groupBy("uid").agg(F.collect_list(F.struct("run", "bucket", "size")).alias("own"))
     met = by_run.select("uid", "own", F.transform(
-        F.sequence(F.lit(0), F.lit(RUNS - 1)),
+        F.sequence(F.lit(0), F.lit(runs - 1)),
         lambda r: F.coalesce(F.get(F.filter("own", lambda x: x["run"] == r), F.lit(0))["bucket"], F.lit(0))).alias("met"))
-    members = met.select("uid", "met", F.explode("own").alias("o")).select("o.bucket", "o.run", "o.size", "uid", "met")
+    members = met.select("uid", "met", F.explode("own").alias("o")).select(
+        "o.bucket", "o.run", "o.size", "uid", F.slice("met", F.lit(1), F.col("o.run")).alias("met"))
     wanted = (members.where(F.col("size") <= BRUTE).repartition("bucket").sortWithinPartitions("bucket")
               .mapInArrow(_wanted, MEMBER).unionByName(members.where(F.col("size") > BRUTE)))
     places = wanted.groupBy("uid").agg(F.collect_list(F.struct("bucket", "run", "size", "met")).alias("places"))

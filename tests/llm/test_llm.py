@@ -382,6 +382,15 @@ def test_large_buckets_are_compared_in_blocks(spark, docs, monkeypatch):
     assert sorted(map(tuple, chosen_path.near_duplicates(spark, docs).collect())) == want
 
 
+def test_crowded_buckets_lose_no_pair(spark, monkeypatch):
+    """Pairs just above 0.8 whose buckets are split down to the last level."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(words[:4 + i] + ["changed"] + words[5 + i:])) for i in range(90)]
+    monkeypatch.setattr(chosen_path, "BRUTE", 2)
+    got = chosen_path.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.n_links) for r in got} == {(0, 89)}
+
+
 def test_topk(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(400)]

@@ -4,8 +4,10 @@ near-duplicate join, substring dedup, packing.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
 the columns of ``documents``; the last returns the packed pieces. Texts without
-words that dedup leaves behind stay as empty documents. A row without doc_id
-has no verdict and no class that could name it: the first three stages keep it.
+words that dedup leaves behind stay as empty documents. Verdicts hold for rows,
+also where different texts share a doc_id; dedup takes such texts as documents
+of their own. Rows without doc_id are kept by the first three stages, whatever
+their verdict.
 """
 
 from __future__ import annotations
@@ -13,40 +15,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockroom.llm import chosen_path, packing, quality_fm, quality_rules, substring_dedup
-from stockroom.session import scratch_path
+from stockroom.session import ensure_checkpoint_dir, scratch_path
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    named = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+#: With doc_id, the key of a row: all that a verdict depends on.
+KEY = "row_key__"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit(""))))
+
+
+def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    named = _keyed(docs).join(rows.select("doc_id", KEY), ["doc_id", KEY], "left_semi").select(docs.columns)
     return named.unionByName(docs.where("doc_id is null"))
 
 
+def _own_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with doc_id as ``given__`` and an own doc_id for each text: the
+    given one, or for further texts with the same doc_id a hash above all ids in use."""
+    docs = docs.withColumn("given__", F.col("doc_id"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    shared = (docs.where("doc_id is not null").select("doc_id", text.alias("t")).groupBy("doc_id")
+              .agg(F.min("t").alias("first__"), F.max("t").alias("t")).where("first__ < t")
+              .select(F.col("doc_id").alias("shared__"), "first__").checkpoint())
+    if shared.isEmpty():
+        return docs
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 62))
+    return (docs.join(shared, F.col("doc_id") == F.col("shared__"), "left")
+            .withColumn("doc_id", F.when(text != F.col("first__"), own).otherwise(F.col("doc_id")))
+            .drop("shared__", "first__"))
+
+
+def _given_ids(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return docs.select(*(F.col("given__").alias(c) if c == "doc_id" else F.col(c) for c in columns))
+
+
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    verdicts = quality_rules.score_documents(spark, docs, _labels(spark, sf_dir))
+    verdicts = quality_rules.score_documents(spark, _keyed(docs), _labels(spark, sf_dir), (KEY,))
     return _only(docs, verdicts.where("kept"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
-    scores = quality_fm.classify(docs, _labels(spark, sf_dir))
+    scores = quality_fm.classify(_keyed(docs), _labels(spark, sf_dir), (KEY,))
     return _only(docs, scores.where("predicted = 1"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near duplicates."""
-    classes = chosen_path.near_duplicates(spark, docs)
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return _only(named, classes.where("doc_id = class_id")).unionByName(docs.where("doc_id is null"))
+    ensure_checkpoint_dir(spark)
+    own = _own_ids(docs)
+    classes = chosen_path.near_duplicates(spark, own)
+    named = own.where("doc_id is not null").dropDuplicates(["doc_id"])
+    kept = named.join(classes.where("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
+    return _given_ids(kept, docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the word windows that a smaller document has."""
-    rest = substring_dedup.kept_documents(docs)
+    ensure_checkpoint_dir(spark)
+    rest = _given_ids(substring_dedup.kept_documents(_own_ids(docs)), docs.columns)
     return rest.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 

@@ -194,8 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for q, i, x, s in zip(got["quality"], got["idx"], got["x"], got["stats"])])
 
 
-def score_documents(docs: DataFrame, model: FactorMachine) -> DataFrame:
-    """doc_id, score of every whole text. The model's size is fixed."""
+def score_documents(docs: DataFrame, model: FactorMachine, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``keep`` columns, score of every whole text. The model's size is fixed."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,14 +206,18 @@ def score_documents(docs: DataFrame, model: FactorMachine) -> DataFrame:
             for i, j in slices(offsets, 1 << 20):
                 off = offsets[i:j + 1]
                 score = fm.score(*features(data[off[0]:off[-1]], off - off[0]))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(score)], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(i, j - i), *(column(batch, c).slice(i, j - i) for c in keep), pa.array(score)],
+                    names=["doc_id", *keep, "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    rows = docs.select("doc_id", *keep, "text")
+    kinds = "".join(f", `{c}` {t}" for c, t in rows.dtypes if c in keep)
+    return rows.mapInArrow(run, f"doc_id long{kinds}, score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score_documents(docs, train(docs, labels)).select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+def classify(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return score_documents(docs, train(docs, labels), keep).select(
+        "doc_id", *keep, held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,12 +143,12 @@ def judge(metrics: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("kept", ~rejected).drop("cut_stratum", *RULES)
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, stratum, metrics, base_failed, kept for every row of ``docs``."""
+def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, stratum, ``keep`` columns, metrics, base_failed, kept for every row of ``docs``."""
     ensure_checkpoint_dir(spark)
     rows = docs.withColumn("stratum", F.coalesce(F.col("lang"), F.lit("")))
     # The counts are needed twice (cutoffs, verdicts); the texts are read once.
-    return judge(text_metrics(rows, ["doc_id", "stratum"]).checkpoint(), labels)
+    return judge(text_metrics(rows, ["doc_id", "stratum", *keep]).checkpoint(), labels)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

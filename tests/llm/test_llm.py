@@ -499,6 +499,24 @@ def test_pipeline_stages_on_odd_tables(spark, odd, odd_labels, tmp_path):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "5", "None", "None"]
 
 
+def test_pipeline_texts_that_share_an_id(spark, tmp_path):
+    """Verdicts hold for the row, and no text is dropped for its doc_id."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    good, other = (" ".join(f"{w}{i}" for i in range(120)) for w in ("word", "term"))
+    rows = [(3, good), (3, other), (3, "junk"), (3, good), (4, other), (5, good + " more"), (6, other.upper())]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    see = lambda out: sorted((r.doc_id, r.text) for r in out.collect())
+    ruled = pipeline.quality_rules_stage(spark, docs, str(tmp_path))
+    assert see(ruled) == sorted(r for r in rows if r[1] != "junk")
+    near = pipeline.near_duplicate_stage(spark, ruled, str(tmp_path))
+    assert len(see(near)) == 3
+    assert {t.split()[0] for _, t in see(near)} == {"word0", "term0", "TERM0"}
+    twice = spark.createDataFrame([(3, good), (3, other), (2, good)], "doc_id long, text string")
+    assert see(pipeline.substring_dedup_stage(spark, twice, "")) == sorted([(2, good), (3, ""), (3, other)])
+
+
 def test_topk_repeated_query_rows(spark):
     rows = [(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0]), (None, [9.0, 9.0]), (50, [])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(7)).withColumn("v", F.lit(1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stockroom.llm import oracles
 from stockroom.llm.bpe import op1_bpe
 from stockroom.llm.chosen_path import op8_jaccard_join
 from stockroom.llm.conversation_repair import op13_conversation_repair
@@ -32,4 +33,7 @@ QUERIES = {
     "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_spelling_variants": oracles.SPELLING_VARIANTS,
+    "op13_conversation_repair": oracles.CONVERSATION_REPAIR,
+}

@@ -51,6 +51,8 @@ DEPTHS = (4, 8, 16)
 LIMIT, VISITS = 2048, 32768
 #: Different words a task holds before it passes their counts on.
 HELD = 100_000
+#: Key of the words at the end of a path through the trie.
+LEAF = "words"
 #: Characters of a text that are looked at in one step.
 STEP = 1 << 20
 
@@ -159,18 +161,16 @@ def reach(counts: bytes, surplus: int, deficit: int) -> list[tuple[bytes, int, i
 
 
 class Trie:
-    """Entries of one node by the counts below it. A subtree of one vector is
-    kept as its last counts."""
+    """Entries of one node by the counts below it."""
 
     def __init__(self, depth: int):
         self.depth, self.root = depth, {}
 
     def add(self, word: str, n: int) -> None:
-        v = vector(word)
         node = self.root
-        for c in v[self.depth:-1]:
+        for c in vector(word)[self.depth:]:
             node = node.setdefault(c, {})
-        node.setdefault(v[-1], []).append((word, n))
+        node.setdefault(LEAF, []).append((word, n))
 
     def search(self, word: str, surplus: int, deficit: int) -> Iterator[tuple[str, int]]:
         """Entries near ``word``, depth first."""
@@ -179,7 +179,7 @@ class Trie:
         while stack:
             level, node, s, d = stack.pop()
             if level == GROUPS:
-                yield from ((w, n) for w, n in node if near(word, w))
+                yield from ((w, n) for w, n in node.get(LEAF, ()) if near(word, w))
                 continue
             c = v[level]
             for child, left_s, left_d, allowed in ((c, s, d, True), (c + 1, 0, d, s), (c - 1, s, 0, d)):

@@ -10,15 +10,11 @@ or any catalog the cluster provides. Plain parquet has no MERGE, so:
   are read (static partition filter on the touched bucket ids, at most
   ``buckets`` values), the batch's keys are anti-joined away, the batch is
   added. Cost grows with the touched buckets, not with the table.
-* **time-range replace** stores the table partitioned by day (``_part``);
-  the batch overwrites its days dynamically and the range's days the batch
-  no longer has are dropped from the catalog (listed with ``SHOW
-  PARTITIONS``, i.e. from metadata). Null times never fall in a range, so
-  they survive.
-
-Both commit per partition through Spark's file commit protocol; a failed
-task is retried, a failed job leaves the previous partitions in place and
-re-running the same interval/batch gives the same end state.
+  It commits per partition through Spark's file commit protocol; a failed job
+  leaves the previous partitions in place, and the same batch can be run again.
+* **time-range replace** and merges that write only the batch's rows commit in
+  one step (:mod:`stockroom.sinks.versions`). Null times never fall in a range,
+  so they are not written.
 """
 
 from __future__ import annotations
@@ -32,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.operators.filters import interval_predicate
 from stockroom.operators.latest import latest_per_key
 from stockroom.operators.quality import contract_violations
 from stockroom.session import shared_dir
@@ -263,17 +258,17 @@ def missing_days(spark: SparkSession, table: str, start, end) -> list[_dt.date]:
     return [d for d in days if not any(a <= d <= b for a, b in done)]
 
 
-def _record_days(spark: SparkSession, table: str, start, end) -> None:
-    """Add a completed range to the table's property; ranges that touch merge."""
-    lo, hi = (_dt.date.fromisoformat(str(x)[:10]) for x in (start, end))
+def covered_days(text: str, start, end) -> str:
+    """The day ranges of ``text`` and ``start .. end``; ranges that touch merge."""
+    day = _dt.date.fromisoformat
+    ranges = [tuple(map(day, r.split(".."))) for r in text.split(",") if r]
     merged: list[tuple[_dt.date, _dt.date]] = []
-    for a, b in sorted([*processed_days(spark, table), (lo, hi)]):
+    for a, b in sorted([*ranges, (day(str(start)[:10]), day(str(end)[:10]))]):
         if merged and a <= merged[-1][1] + _dt.timedelta(days=1):
             merged[-1] = (merged[-1][0], max(merged[-1][1], b))
         else:
             merged.append((a, b))
-    text = ",".join(f"{a}..{b}" for a, b in merged)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PROP_RANGES}' = '{text}')")
+    return ",".join(f"{a}..{b}" for a, b in merged)
 
 
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
@@ -345,33 +340,10 @@ def replace_time_range(spark: SparkSession, table: str, batch: DataFrame, time_c
     """Replace exactly the interval ``start .. end`` (whole days; finer bounds
     are refused, see :func:`stockroom.operators.filters.interval_predicate`) of
     ``table`` by ``batch``; rows of the batch outside the interval are not
-    written. Two steps: written days are replaced, then days of the range that
-    became empty are dropped; after a stop in between, run it again."""
-    staged = (batch.where(interval_predicate(time_col, start, end, unit))
-                   .withColumn(PART, F.to_date(F.col(time_col))))
-    if not table_exists(spark, table):
-        _by_part(staged).write.format("parquet").partitionBy(PART).saveAsTable(table)
-        _record_days(spark, table, start, end)
-        return
-    target = spark.table(table)
-    assert_same_schema(target.schema, staged.schema)
-    # Computed once: the written rows and the set of days written agree even
-    # if the batch's inputs change meanwhile; lineage is cut at the shared
-    # folder.
-    staged, path = _stage(_by_part(staged), table, "range")
-    written = {r[0] for r in staged.select(PART).distinct().collect()}  # <= days in range
-    _insert_dynamic(spark, path, staged.schema, table, target.columns)
-    _unstage(spark, path)
-    lo, hi = str(start)[:10], str(end)[:10]
-    kept = {str(d) for d in written}
-    stale = []
-    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():   # catalog metadata
-        day = spec.split("=", 1)[1]
-        if lo <= day <= hi and day not in kept:
-            stale.append(f"PARTITION ({PART} = DATE'{day}')")
-    if stale:   # one catalog operation for all days of the range that became empty
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(stale)}")
-    _record_days(spark, table, start, end)
+    written. One commit: readers find the range's old rows or its new ones (see
+    :mod:`stockroom.sinks.versions`)."""
+    from stockroom.sinks.versions import replace_range
+    replace_range(spark, table, batch, time_col, start, end, unit)
 
 
 def incremental_or_full(spark: SparkSession, table: str,

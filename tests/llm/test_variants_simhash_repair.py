@@ -73,21 +73,23 @@ def test_spelling_variants(spark, prose):
     assert _got(spark, [(1, None), (2, "")]) == set() == _got(spark, [])
 
 
-@pytest.mark.parametrize("limit, visits", [(4, 1 << 15), (2048, 6), (0, 0)])
+@pytest.mark.parametrize("limit, visits", [(4, 1 << 20), (2048, 60), (0, 0)])
 def test_spelling_crowded_nodes_go_deeper_and_end_in_deletions(spark, prose, monkeypatch, limit, visits):
     monkeypatch.setattr(spelling, "LIMIT", limit)
     monkeypatch.setattr(spelling, "VISITS", visits)
     assert _got(spark, prose) == _variants(prose)
 
 
-def test_spelling_trie_finds_all_that_the_budget_reaches():
+@pytest.mark.parametrize("lengths", [(3, 6), (45, 52), (300, 303)])
+def test_spelling_trie_finds_each_pair_once(lengths):
     rng = random.Random(2)
-    words = sorted({"".join(rng.choice("abqr") for _ in range(rng.randint(3, 6))) for _ in range(400)})
-    trie = spelling.Trie(0)
-    for w in words:
-        trie.add(w, 1)
-    for w in words[::7]:
-        assert sorted(x for x, _ in trie.search(w, 1, 1)) == [x for x in words if spelling.near(w, x)]
+    base = ["".join(rng.choice("abqr") for _ in range(rng.randint(*lengths))) for _ in range(60)]
+    words = sorted({w for w in base} | {_edit(rng, w) for w in base for _ in range(4)})
+    node = spelling.Node(0, [(spelling.vector(w), w, 1) for w in words])
+    asks = [(spelling.vector(w), 1, 1, w) for w in words]
+    got = [tuple(sorted((words[x], node.words[y]))) for a, b in node.pairs(asks) for x, y in zip(a, b)]
+    assert len(got) == len(set(got))
+    assert set(got) == {(x, y) for x in words for y in words if x < y and spelling.near(x, y)}
 
 
 def test_spelling_text_in_steps(monkeypatch):

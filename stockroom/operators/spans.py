@@ -95,11 +95,25 @@ def daily_stock(spans: DataFrame, start, end, dims: Sequence[str] = (),
     raise ValueError(f"unknown method {method!r}")
 
 
+def daily_change(spans: DataFrame, start, end, sign, dims: Sequence[str] = (),
+                 measures: Mapping[str, Column] | None = None, day_col: str = "stock_date",
+                 age_col: str = "stock_days") -> DataFrame:
+    """What spans that are added (``sign`` 1) and taken away (-1) change in the
+    daily stock per ``(day, *dims)``: signed measures and stock days. Spans that
+    cancel out leave no rows. A sweep, so it costs two rows a span."""
+    measures = dict(measures or {"net_stock_count": F.lit(1)})
+    out = _sweep(spans, start, end, list(dims), measures, False, None, None, day_col, age_col, True, weight=_c(sign))
+    same = F.lit(True)
+    for c in (*measures, age_col):
+        same = same & (F.col(c) == 0)
+    return out.where(~same)
+
+
 def _epoch() -> Column:
     return F.lit(_dt.date(1970, 1, 1))
 
 
-def _sweep(spans, start, end, dims, measures, outer, lo, hi, day_col, age_col, age_long):
+def _sweep(spans, start, end, dims, measures, outer, lo, hi, day_col, age_col, age_long, weight=None):
     if outer and (lo is not None or hi is not None):
         raise ValueError("clamping is defined for the inner expansion only")
     s, e = _clamped(start, end, lo, hi)
@@ -107,9 +121,9 @@ def _sweep(spans, start, end, dims, measures, outer, lo, hi, day_col, age_col, a
     names = ["__n", "__s0", *measures]
 
     def change(day: Column, sign: int) -> Column:
-        return F.struct(day.alias(day_col), F.lit(sign).cast("bigint").alias("__n"),
-                        (s0 * sign).alias("__s0"),
-                        *[(m.cast("bigint") * sign).alias(n) for n, m in measures.items()])
+        w = F.lit(sign).cast("bigint") if weight is None else weight.cast("bigint") * sign
+        return F.struct(day.alias(day_col), w.alias("__n"), (s0 * w).alias("__s0"),
+                        *[(m.cast("bigint") * w).alias(n) for n, m in measures.items()])
 
     # One pass over the spans: a valid span emits +1 on its first day and -1
     # on the day after its last; with ``outer`` an invalid span emits one row
@@ -134,7 +148,11 @@ def _sweep(spans, start, end, dims, measures, outer, lo, hi, day_col, age_col, a
            .otherwise(F.sum(F.when(day.isNotNull(), F.col(n))).over(upto)).alias(n)
           for n in names])
     # Between two change days the covering set is constant: one row per day.
-    days_ = F.when(F.col("__n") > 0, F.sequence(F.col("__from"), F.date_sub(F.col("__to"), 1),
+    some = F.col("__n") > 0
+    if weight is not None:      # signed: spans of equal number can differ in all else
+        for n in names:
+            some = some | (F.col(n) != 0)
+    days_ = F.when(some, F.sequence(F.col("__from"), F.date_sub(F.col("__to"), 1),
                                                   F.expr("interval 1 day")))
     if outer:
         days_ = F.when(F.col("__from").isNull(), F.array(F.lit(None).cast("date"))).otherwise(days_)

@@ -72,9 +72,24 @@ def is_versioned(spark: SparkSession, name: str) -> bool:
 
 
 def version_of(spark: SparkSession, name: str) -> int:
-    """Number of commits (0: no table)."""
+    """Number of commits that changed the rows (0: no table)."""
     state = state_of(spark, name)
-    return state["commit"] if state else 0
+    return state["version"] if state else 0
+
+
+def previous_version(spark: SparkSession, name: str) -> DataFrame:
+    """The rows before the last commit (kept until the next one)."""
+    state = state_of(spark, name)
+    if state is None or not state.get("previous"):
+        raise ValueError(f"{name} has no earlier version")
+    return spark.sql(_select(state["previous"]))
+
+
+def last_delta(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of the last merge that is not compacted yet."""
+    state = state_of(spark, name)
+    seg = state["deltas"][-1]
+    return spark.table(state["data"]).where((F.col(PART) == DELTA) & (F.col(SEG) == seg)).select(*state["columns"])
 
 
 # ---------------------------------------------------------------- what the view shows
@@ -90,9 +105,9 @@ def _visible(state: Mapping) -> str:
         out += f" AND {PART} >= 0"
     hidden = state["hidden"]
     if hidden:
-        parts = (f"{PART} BETWEEN DATE'{hidden[0]}' AND DATE'{hidden[1]}'" if state["kind"] == "range"
+        parts = (" OR ".join(f"{PART} BETWEEN DATE'{lo}' AND DATE'{hi}'" for lo, hi in hidden) if state["kind"] == "range"
                  else f"{PART} IN ({', '.join(map(str, hidden))})")
-        out += f" AND NOT ({SEG} < {state['base']} AND {parts})"
+        out += f" AND NOT ({SEG} < {state['base']} AND ({parts}))"
     return out
 
 
@@ -148,7 +163,7 @@ def _is_hidden(state: Mapping, seg: int, part: str) -> bool:
     hidden = state["hidden"]
     if not hidden or seg >= state["base"]:
         return False
-    return hidden[0] <= part <= hidden[1] if state["kind"] == "range" else int(part) in hidden
+    return any(lo <= part <= hi for lo, hi in hidden) if state["kind"] == "range" else int(part) in hidden
 
 
 def _clean(spark: SparkSession, name: str, state: Mapping) -> None:
@@ -201,7 +216,7 @@ def _following(spark: SparkSession, name: str, state: Mapping | None, **changes)
     """The next state; the one before it, with its properties, is kept for :func:`undo`."""
     before = {k: v for k, v in state.items() if k != "previous"} if state else {}
     previous = before | {"properties": _kept_properties(spark, name)} if state else None
-    return before | changes | {"commit": before.get("commit", 0) + 1, "previous": previous}
+    return before | changes | {"previous": previous}
 
 
 def _check_target(spark: SparkSession, name: str, state: Mapping | None, kind: str, batch: T.StructType) -> None:
@@ -224,18 +239,38 @@ def replace_range(spark: SparkSession, name: str, batch: DataFrame, time_col: st
     records the days as processed."""
     wanted = batch.where(interval_predicate(time_col, start, end, unit))
     lo, hi = (_dt.date.fromisoformat(str(x)[:10]).isoformat() for x in (start, end))
+    ranges = _kept_properties(spark, name).get(_RANGES, "")
+    _replace(spark, name, wanted, time_col, [[lo, hi]], marks,
+             {_RANGES: covered_days(ranges, start, end), **(properties or {})})
+
+
+def replace_days(spark: SparkSession, name: str, batch: DataFrame, day_col: str, days: Sequence[_dt.date],
+                 properties: Mapping[str, str] | None = None) -> None:
+    """Replace the given days of ``name`` by the batch's rows, which all lie in
+    these days, in one commit."""
+    runs = [x.split("..") for x in covered_runs(days)]
+    _replace(spark, name, batch, day_col, runs, (), properties or {})
+
+
+def covered_runs(days: Sequence[_dt.date]) -> list[str]:
+    out = ""
+    for d in sorted(days):
+        out = covered_days(out, d, d)
+    return out.split(",") if out else []
+
+
+def _replace(spark, name, rows: DataFrame, time_col: str, hidden: list, marks: Sequence[str], properties: Mapping[str, str]) -> None:
     state = state_of(spark, name)
-    _check_target(spark, name, state, "range", batch.schema)
-    columns = state["columns"] if state else batch.columns
-    rows = _by_part(wanted.withColumn(PART, F.to_date(F.col(time_col))))
+    _check_target(spark, name, state, "range", rows.schema)
+    columns = state["columns"] if state else rows.columns
     if state:
         _clean(spark, name, state)
     seg, data = _next_segment(state), state["data"] if state else _data_table(name)
-    got = _write_segment(spark, data, rows, seg, columns, state is None, marks=marks)
-    props = _with_marks(_kept_properties(spark, name), got, marks) | dict(properties or {})
-    props[_RANGES] = covered_days(props.get(_RANGES, ""), start, end)
+    got = _write_segment(spark, data, _by_part(rows.withColumn(PART, F.to_date(F.col(time_col)))), seg, columns,
+                         state is None, marks=marks)
+    props = _with_marks(_kept_properties(spark, name), got, marks) | dict(properties)
     _publish(spark, name, _following(spark, name, state, kind="range", data=data, columns=list(columns), seg=seg, base=seg,
-                                     hidden=[lo, hi]), props)
+                                     hidden=hidden, version=(state["version"] if state else 0) + 1), props)
 
 
 def merge(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
@@ -270,11 +305,12 @@ def merge(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
     props = _with_marks(_kept_properties(spark, name), got, marks) | dict(properties or {})
     if state is None:
         _publish(spark, name, _following(spark, name, None, kind="key", data=data, columns=list(columns), keys=keys, order=order,
-                                         buckets=buckets, seg=seg, base=seg, hidden=[], deltas=[], rows=0, bytes=0), props)
+                                         buckets=buckets, seg=seg, base=seg, hidden=[], deltas=[], rows=0, bytes=0,
+                                         version=1), props)
         return
     deltas = [*state["deltas"], seg] if got["rows"] else state["deltas"]
     _publish(spark, name, _following(spark, name, state, order=order, seg=seg, deltas=deltas, rows=state["rows"] + got["rows"],
-                                     bytes=state["bytes"] + got["bytes"]), props)
+                                     bytes=state["bytes"] + got["bytes"], version=state["version"] + bool(got["rows"])), props)
     if len(deltas) > max_deltas:
         compact(spark, name)
 

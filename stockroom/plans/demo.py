@@ -69,6 +69,13 @@ def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
     the most recently processed delivery wins. Remaining ties break on a
     64-bit hash of the raw text: deterministic, and 8 bytes through the
     shuffle instead of the whole document."""
+    typed = typed_events(raw, json, lenient)
+    out = dedup_redelivery(typed, order=("processed_at", "__value"), method=method).drop("__value")
+    return enforce_contract(out.select(*SDP_DEMO_CONTRACT.fieldNames()), SDP_DEMO_CONTRACT)
+
+
+def typed_events(raw: DataFrame, json: str = "struct", lenient: bool = False) -> DataFrame:
+    """Typed demo events with a vehicle id, every delivery (batch or stream)."""
     p = extract(declare(raw, RAW_EVENTS, "raw events"), DEMO_PATHS, json)
     typed = p.select(
         F.col("timestamp").alias("event_timestamp"),
@@ -78,9 +85,7 @@ def sdp_demo(raw: DataFrame, json: str = "struct", method: str = "window",
         default_if_null(to_bool("online_orderable", lenient), False).alias("online_orderable"),
         to_bool("porsche_approved", lenient).alias("porsche_approved"),
         "processed_at", F.xxhash64("value").alias("__value"))
-    typed = drop_null_key(typed, "inventory_id")
-    out = dedup_redelivery(typed, order=("processed_at", "__value"), method=method).drop("__value")
-    return enforce_contract(out.select(*SDP_DEMO_CONTRACT.fieldNames()), SDP_DEMO_CONTRACT)
+    return drop_null_key(typed, "inventory_id")
 
 
 def vehicle_spans(events: DataFrame, method: str = "max_by", frame: str = "join") -> DataFrame:

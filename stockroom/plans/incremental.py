@@ -30,18 +30,29 @@ from stockroom.plans.preview import (
 from stockroom.sinks.tables import (
     commit_mark, committed_mark, merge_by_key, read_table, replace_time_range, table_exists,
 )
+from stockroom.sinks import versions
 
 
 def _mark(spark: SparkSession, table: str, col: str, parse):
-    """Mark of the last complete run; a table without one (just created) has
-    been written in one statement, so its maximum holds."""
+    """Mark of the last complete run. It is stored with every run; only a table
+    that some other program has created is read for it."""
     stored = committed_mark(spark, table, col)
     return parse(stored) if stored else high_water_mark(read_table(spark, table), col)
 
 
+def _merge(spark: SparkSession, table: str, batch: DataFrame, key: str, mark_col: str, mark, order, store: str) -> None:
+    """Merge a batch that is unique on ``key`` and store the mark, the larger of
+    the old one and the batch's maximum, which the write itself observes."""
+    if store == "delta":
+        versions.merge(spark, table, batch, [key], order=order or (), marks=[mark_col], check=False)
+        return
+    got = merge_by_key(spark, table, batch, [key], check=False, order=order, observe=mark_col)
+    commit_mark(spark, table, mark_col, max((m for m in (mark, got) if m is not None), default=None))
+
+
 def sdp_incremental_hwm(spark: SparkSession, raw: DataFrame, table: str,
                         json: str = "struct", day_col: str | None = None,
-                        lookback: _dt.timedelta | None = None) -> None:
+                        lookback: _dt.timedelta | None = None, store: str = "rewrite") -> None:
     """Snapshot per vehicle, loading only raw rows with
     ``timestamp > max(event_timestamp)`` of the target, merged on the id.
     An existing but empty target has no mark and loads everything.
@@ -50,16 +61,17 @@ def sdp_incremental_hwm(spark: SparkSession, raw: DataFrame, table: str,
     stopped between partitions is repeated in full. ``day_col``: partition
     column of ``raw`` that is the day of ``timestamp``. ``lookback``: read that
     much before the mark again and keep the later row of each vehicle, so rows
-    late by less than it are not lost."""
-    order = None
+    late by less than it are not lost. ``store``: ``"rewrite"`` rewrites the
+    buckets that the batch touches, ``"delta"`` writes the batch's rows only and
+    commits them with the mark (:mod:`stockroom.sinks.versions`)."""
+    order = mark = None
     if table_exists(spark, table):
-        mark = _mark(spark, table, "event_timestamp", _dt.datetime.fromisoformat)
+        mark = since = _mark(spark, table, "event_timestamp", _dt.datetime.fromisoformat)
         if lookback and mark is not None:
-            mark, order = mark - lookback, ["event_timestamp"]
-        raw = above_mark(raw, "timestamp", mark, day_col=day_col)
+            since, order = mark - lookback, ["event_timestamp"]
+        raw = above_mark(raw, "timestamp", since, day_col=day_col)
     # Latest-per-key output is unique and non-null on the key by construction.
-    merge_by_key(spark, table, sdp_preview(raw, json), ["inventory_id"], check=False, order=order)
-    commit_mark(spark, table, "event_timestamp", high_water_mark(read_table(spark, table), "event_timestamp"))
+    _merge(spark, table, sdp_preview(raw, json), "inventory_id", "event_timestamp", mark, order, store)
 
 
 def range_snapshot(raw: DataFrame, start, end, json: str = "struct",
@@ -90,13 +102,12 @@ def sdp_incremental_key(spark: SparkSession, raw: DataFrame, table: str, start,
 
 
 def cdp_incremental_hwm(spark: SparkSession, snap: DataFrame, table: str, as_of,
-                        method: str = "sweep") -> None:
+                        method: str = "sweep", store: str = "rewrite") -> None:
     """Daily stock for days ``>= max(stock_date)`` of the target (clamped
     before expansion), merged on the day. Earlier days are never revisited."""
     lo = _mark(spark, table, "stock_date", _dt.date.fromisoformat) if table_exists(spark, table) else None
     daily = cdp_preview(snap, as_of, method=method, lo=lo, sort=False)
-    merge_by_key(spark, table, daily, ["stock_date"], check=False)   # one row per day
-    commit_mark(spark, table, "stock_date", high_water_mark(read_table(spark, table), "stock_date"))
+    _merge(spark, table, daily, "stock_date", "stock_date", lo, None, store)   # one row per day
 
 
 def cdp_incremental_range(spark: SparkSession, snap: DataFrame, table: str, start, end,

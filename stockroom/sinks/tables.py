@@ -24,7 +24,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,6 +136,12 @@ def create_view(spark: SparkSession, name: str, table: str, columns: Sequence[st
 _MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
+def observed_max(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``df`` whose next action also yields the maximum of each column, as text."""
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.max(c).cast("string").alias(c) for c in cols]), obs
+
+
 def _stage(df: DataFrame, table: str, kind: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a staging folder of this run in the shared folder and
     read it back: the lineage is cut there, a failed table write is retried
@@ -273,7 +279,7 @@ def covered_days(text: str, start, end) -> str:
 
 def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
                  buckets: int | None = None, order: Sequence | None = None,
-                 check: bool = True) -> None:
+                 check: bool = True, observe: str | None = None):
     """Upsert ``batch`` into ``table`` on ``keys``: matched rows replaced,
     new keys inserted, nothing deleted.
 
@@ -287,6 +293,8 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     properties at creation and every later merge uses the stored count, so
     bucket ids always agree; :func:`rebucket` changes it when a table has
     outgrown its buckets.
+    ``observe``: a date or time column whose maximum over the batch is returned
+    (``None`` if there is none); it is observed while the batch is staged.
     """
     keys = list(keys)
     exists = table_exists(spark, table)
@@ -299,7 +307,12 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
         buckets = int(props[_PROP_BUCKETS])
     # The batch is computed once (parsing, dedup...) and staged in the shared
     # folder; checks and merge read that copy.
-    staged, batch_path = _stage(batch, table, "batch")
+    watched, obs = observed_max(batch, [observe] if observe else [])
+    staged, batch_path = _stage(watched, table, "batch")
+    newest = obs.get[observe] if observe else None
+    if newest is not None:
+        parse = _dt.date if isinstance(batch.schema[observe].dataType, T.DateType) else _dt.datetime
+        newest = parse.fromisoformat(newest)
     buckets = buckets or max(MIN_BUCKETS, -(-_bytes_of(spark, batch_path) // BUCKET_BYTES))
     staged = staged.withColumn(PART, bucket_of(keys, buckets))
     if check:
@@ -307,7 +320,7 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     if not exists:
         _create_bucketed(spark, table, staged, {_PROP_BUCKETS: str(buckets), _PROP_KEYS: ",".join(keys)})
         _unstage(spark, batch_path)
-        return
+        return newest
     target = spark.table(table)
     assert_same_schema(target.schema, staged.schema)
     # At most ``buckets`` small ints: a static partition filter, so only the
@@ -327,6 +340,7 @@ def merge_by_key(spark: SparkSession, table: str, batch: DataFrame, keys: Sequen
     merged, path = _stage(_by_part(new), table, "merge")
     _insert_dynamic(spark, path, merged.schema, table, target.columns)
     _unstage(spark, batch_path, path)
+    return newest
 
 
 def _by_part(df: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ LETTERS = re.compile("[a-z\\u00C0-\\u00FF]+")
 GROUPS = 16
 #: Depths of the trie at which units of work may stop.
 DEPTHS = (4, 6, 8, 12, 16)
-LIMIT, VISITS = 16384, 1 << 20
+LIMIT, VISITS = 8192, 1 << 17
 #: Pairs verified at once, and code points of words that are compared as arrays.
 PAIRS, WIDTH = 1 << 17, 48
 #: Different words a task holds before it passes their counts on.

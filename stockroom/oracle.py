@@ -256,7 +256,17 @@ select * from parsed_preview where event_timestamp > (select max(event_timestamp
     q["cdp_incremental_hwm"] = build([PARSED_PREVIEW] + P9, "select * from p9")
     q["cdp_incremental_range"] = build([PARSED_PREVIEW] + P10, "select * from p10")
 
+    q["cdp_incremental_delta"] = q["cdp_preview"]
+
     # sources / sinks / streams
+    q["stream_dedup_redelivery"] = build([PARSED_DEMO], """
+select distinct inventory_id, event_timestamp, country, vehicle_type, dealer_name, online_orderable,
+       porsche_approved, arrival_date, sales_date
+from parsed_demo where inventory_id is not null""")
+    q["stream_latest_stateful"] = q["sdp_preview"]
+    q["merge_delta_compact"] = """
+select * exclude (rn) from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+                            from events) where rn = 1"""
     q["source_declared_schema"] = "select event_id, ts, user_id, event_type from events"
     land = f"select key, topic, timestamp, value, {ts(AS_OF)} as processed_at from raw_preview"
     q["land_raw_projection"] = build([], land)

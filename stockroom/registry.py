@@ -30,12 +30,13 @@ from stockroom.operators.latest import (
     dedup_redelivery, first_over_full_frame, latest_attributes, latest_per_key,
 )
 from stockroom.operators.spans import expand_days, validity_span
-from stockroom.plans import demo, incremental, preview
+from stockroom.plans import demo, incremental, live_stock, preview
 from stockroom.session import scratch_database, scratch_path
-from stockroom.sinks import tables as sinks
+from stockroom.sinks import tables as sinks, versions
 from stockroom.sources import fixtures
 from stockroom.sources.tables import KAFKA, load, source, table_path
-from stockroom.streaming.ingest import ingest, land_raw, read_stream, with_event_date
+from stockroom.streaming.ingest import append_stream, ingest, land_raw, read_stream, with_event_date
+from stockroom.streaming.stateful import dedup_stream, stream_latest
 from stockroom.streaming.upsert import stream_upsert_latest
 
 AS_OF = fixtures.AS_OF
@@ -436,6 +437,21 @@ def q_merge_by_key(spark, sf):
     return sinks.read_table(spark, t)
 
 
+def q_merge_delta_compact(spark, sf):
+    """Two batches merged as deltas (one against the recency order), compacted,
+    and a third delta on top."""
+    db = scratch_database(spark)
+    t = f"{db}.latest_event"
+    ev = load(spark, sf, "events")
+    newest = lambda rows: latest_per_key(rows, ["user_id"], ["ts", "event_id"])
+    late = F.col("ts") >= ntz_lit("2024-01-15 00:00:00")
+    for rows in (ev.where(late & (F.col("event_type") != "purchase")), ev.where(~late)):
+        versions.merge(spark, t, newest(rows), ["user_id"], order=["ts", "event_id"])
+    versions.compact(spark, t)
+    versions.merge(spark, t, newest(ev.where(F.col("event_type") == "purchase")), ["user_id"], order=["ts", "event_id"])
+    return sinks.read_table(spark, t)
+
+
 def _daily_counts(ev: DataFrame) -> DataFrame:
     return ev.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
         F.count(F.lit(1)).alias("event_count"))
@@ -594,6 +610,16 @@ def q_cdp_incremental_range(spark, sf):
     return sinks.read_table(spark, t)
 
 
+def q_cdp_incremental_delta(spark, sf):
+    """Early rows, then late and newer ones, then a replay of the early ones."""
+    db = scratch_database(spark)
+    vehicles, daily = f"{db}.vehicles", f"{db}.cdp_inventory_reporting_preview"
+    b1, b2 = _batches(spark, sf)
+    for landed in (b1, b2, b1):
+        live_stock.cdp_incremental_delta(spark, landed, vehicles, daily, AS_OF)
+    return sinks.read_table(spark, daily)
+
+
 # ------------------------------------------------------------------ streaming
 
 def _topic_files(spark, sf) -> tuple[str, DataFrame, DataFrame]:
@@ -641,6 +667,47 @@ def q_stream_upsert_latest(spark, sf):
     return sinks.read_table(spark, t).select(*preview.SNAPSHOT_COLUMNS)
 
 
+#: Columns of a typed event that a re-delivery repeats as they were.
+REPEATED = ("inventory_id", "event_timestamp", "country", "vehicle_type", "dealer_name", "online_orderable",
+            "porsche_approved", "arrival_date", "sales_date")
+
+
+def q_stream_dedup_redelivery(spark, sf):
+    """Typed events of a stream, re-deliveries removed within a watermark of two
+    days; the topic fills in three steps with a restart after each."""
+    db = scratch_database(spark)
+    raw = _fx(spark, sf, "raw_demo")
+    topic, ckpt, t = scratch_path(spark, "topic"), scratch_path(spark, "ckpt"), f"{db}.sdp_inventory_vehicles_demo"
+    arrived = F.to_date("processed_at")      # rows come in the order in which they were processed
+    steps = [arrived < F.lit(_dt.date(2024, 1, 10)), arrived.between(_dt.date(2024, 1, 10), _dt.date(2024, 1, 19)),
+             arrived >= F.lit(_dt.date(2024, 1, 20))]
+    for step in steps:
+        _kafka_shaped(raw.where(step)).write.mode("append").parquet(topic)
+        src = read_stream(spark, "parquet", _kafka_schema(), topic)
+        events = demo.typed_events(land_raw(src, processed_at=AS_OF)).select(*REPEATED)
+        first = dedup_stream(events, ["inventory_id", "event_timestamp"], "event_timestamp", "2 days")
+        append_stream(first, t, ckpt).awaitTermination()
+    return sinks.read_table(spark, t)
+
+
+def q_stream_latest_stateful(spark, sf):
+    """Latest snapshot per vehicle from stream state: late rows first, then the
+    early ones, then all late files once more."""
+    db = scratch_database(spark)
+    topic, k1, k2 = _topic_files(spark, sf)
+    t, ckpt = f"{db}.sdp_inventory_vehicles_preview", scratch_path(spark, "ckpt")
+
+    def to_rows(rows: DataFrame) -> DataFrame:
+        landed = land_raw(rows, processed_at=F.col("timestamp") + F.expr("interval 1 hour"))
+        return preview.parse_preview(landed).withColumnRenamed("__value", "raw_hash")
+
+    for part in (k2, k1, k2):
+        part.write.mode("append").parquet(topic)
+        src = read_stream(spark, "parquet", _kafka_schema(), topic)
+        stream_latest(src, t, ["inventory_id"], live_stock.STATE_ORDER, ckpt, transform=to_rows).awaitTermination()
+    return sinks.read_table(spark, t).select(*preview.SNAPSHOT_COLUMNS)
+
+
 def _kafka_schema():
     return quality.contract_schema(KAFKA)
 
@@ -664,6 +731,7 @@ QUERIES: dict[str, Query] = {
     "sdp_incremental_key_newer": q_sdp_incremental_key_newer,
     "cdp_incremental_hwm": q_cdp_incremental_hwm,
     "cdp_incremental_range": q_cdp_incremental_range,
+    "cdp_incremental_delta": q_cdp_incremental_delta,
     # literal / Spark-first variants of the models
     "sdp_demo_get_json": q_sdp_demo_get_json,
     "agg_demo_window": q_agg_demo_window,
@@ -677,9 +745,12 @@ QUERIES: dict[str, Query] = {
     "land_raw_projection": q_land_raw_projection,
     "stream_land_raw": q_stream_land_raw,
     "stream_upsert_latest": q_stream_upsert_latest,
+    "stream_dedup_redelivery": q_stream_dedup_redelivery,
+    "stream_latest_stateful": q_stream_latest_stateful,
     "full_refresh": q_full_refresh,
     "view_materialization": q_view_materialization,
     "merge_by_key": q_merge_by_key,
+    "merge_delta_compact": q_merge_delta_compact,
     "replace_time_range": q_replace_time_range,
     "incremental_first_run": q_incremental_first_run,
     "backfill_daily": q_backfill_daily,

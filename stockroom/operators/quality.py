@@ -6,10 +6,10 @@ Audits return the *violating rows* (empty = pass), like SQL audits do;
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +131,30 @@ def run_audits(df: DataFrame, audits: Sequence[Audit]) -> DataFrame:
     return out.withColumn("violations", F.col("violations").cast("bigint"))
 
 
+class AuditError(RuntimeError):
+    """Violations of audits that stop a run."""
+
+
+def observed_audits(df: DataFrame, audits: Sequence[Audit]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` whose next action also counts the violations of ``audits``, and a
+    function that returns them, by audit, after that action. The rows are read
+    once. A grain is counted by a window over its keys, which needs no exchange
+    where the rows lie by these keys already (as after a de-duplication)."""
+    cells, cols = [], df.columns
+    for i, a in enumerate(audits):
+        if a.kind == "unique":
+            df = df.withColumn(f"__n{i}", F.count(F.lit(1)).over(Window.partitionBy(*a.keys)))
+            cells.append(F.count_if(F.col(f"__n{i}") > 1))
+        else:
+            cells.append(F.count_if(a.predicate()))
+    obs = Observation()
+    if not audits:
+        return df, dict
+    # The counts can be null only if there are no rows.
+    watched = df.observe(obs, *[c.alias(f"a{i}") for i, c in enumerate(cells)]).select(*cols)
+    return watched, lambda: {a.name: int(obs.get.get(f"a{i}") or 0) for i, a in enumerate(audits)}
+
+
 #: Audits attached to the typed demo events (fixed values from the model spec).
 VEHICLE_AUDITS = (
     Audit("assert_vehicle_condition_not_null", "not_null", "vehicle_condition"),

@@ -9,9 +9,8 @@ The chains are fixed; this is not a general DAG runner.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stockroom.operators.quality import VEHICLE_AUDITS, run_audits
+from stockroom.operators.quality import VEHICLE_AUDITS, AuditError  # noqa: F401 - raised by run_demo_chain
 from stockroom.plans import demo, preview
 from stockroom.sinks.tables import read_table, write_full
 
@@ -39,35 +38,26 @@ COLUMN_DESCRIPTIONS = {
 }
 
 
-def _write(df: DataFrame, table: str, **options) -> None:
+def _write(df: DataFrame, table: str, **options) -> dict[str, int]:
     name = table.rsplit(".", 1)[-1]
-    write_full(df, table, comment=DESCRIPTIONS[name],
+    return write_full(df, table, comment=DESCRIPTIONS[name],
                column_comments={c: COLUMN_DESCRIPTIONS[c] for c in df.columns if c in COLUMN_DESCRIPTIONS}, **options)
 
 
-class AuditError(RuntimeError):
-    pass
-
-
 def run_demo_chain(spark: SparkSession, db: str, raw: DataFrame, markets: DataFrame,
                    vehicles: DataFrame, audits: str = "warn") -> DataFrame:
     """Typed events -> vehicle spans -> daily stock, each written to ``db``.
 
     ``audits``: ``"error"`` stops the run when an audit of the typed events
-    finds violations, ``"warn"`` records them, ``"off"`` skips them. Returns
-    the audit summary ``(audit, violations)`` (empty when off).
+    finds violations, before they are shown in their table, ``"warn"`` records
+    them, ``"off"`` skips them. They are counted while the events are written.
+    Returns the audit summary ``(audit, violations)`` (empty when off).
     """
     t1, t2, t3 = (f"{db}.{n}" for n in ("sdp_inventory_vehicles_demo",
                                         "agg_inventory_reporting_demo",
                                         "cdp_inventory_reporting_demo"))
-    _write(demo.sdp_demo(raw), t1)
-    summary = spark.createDataFrame([], "audit string, violations bigint")
-    if audits != "off":
-        summary = run_audits(read_table(spark, t1), VEHICLE_AUDITS)
-        if audits == "error":
-            failed = summary.where(F.col("violations") > 0).collect()
-            if failed:
-                raise AuditError("; ".join(f"{r['audit']}: {r['violations']}" for r in failed))
+    found = _write(demo.sdp_demo(raw), t1, audits=() if audits == "off" else VEHICLE_AUDITS, on_violation=audits)
+    summary = spark.createDataFrame(list(found.items()), "audit string, violations bigint")
     _write(demo.agg_demo(read_table(spark, t1), markets, vehicles), t2)
     _write(demo.cdp_demo(read_table(spark, t2)), t3)
     return summary

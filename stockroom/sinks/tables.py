@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.operators.latest import latest_per_key
-from stockroom.operators.quality import contract_violations
+from stockroom.operators.quality import Audit, AuditError, contract_violations, observed_audits
 from stockroom.session import shared_dir
 
 PART = "_part"
@@ -80,16 +80,45 @@ def _take_name(spark: SparkSession, new: str, table: str, partitioned: bool) ->
     """Drop ``table`` and give its name to ``new``. A rename moves the files of a
     managed table, but a catalog may keep the old folders of its partitions, so
     the partitions are registered again."""
-    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    return next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location")
+
+
+_PROP_BEFORE = "stockroom.location.before"
+
+
+def _point_to(spark: SparkSession, table: str, path: str) -> None:
+    """One catalog statement gives ``table`` the files of ``path``. The files
+    before stay until the next refresh, for queries that are still reading them;
+    those before that go now."""
+    old, gone = _location(spark, table), _properties(spark, table).get(_PROP_BEFORE)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_sql_str(path)}")
+    spark.catalog.refreshTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_sql_str(_PROP_BEFORE)} = {_sql_str(old)})")
+    if gone:
+        _unstage(spark, gone)
+
+
+def _same_layout(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str]) -> bool:
+    """Whether new files can stand in for the table's: an unpartitioned table
+    with the same columns."""
+    have = [(f.name, f.dataType) for f in spark.table(table).schema]
+    kinds = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return (not partition_by and "# Partition Information" not in kinds and kinds.get("Type") != "VIEW"
+            and have == [(f.name, f.dataType) for f in df.schema])
+
+
 def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
                comment: str | None = None, cluster_by: Sequence[str] = (),
-               column_comments: Mapping[str, str] | None = None) -> None:
+               column_comments: Mapping[str, str] | None = None, audits: Sequence[Audit] = (),
+               on_violation: str = "error") -> dict[str, int]:
     """Full refresh: recompute and replace the table (comments are written to
     the catalog with it).
 
@@ -97,27 +126,45 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (),
     writing (files hold disjoint, sorted key ranges, so min/max statistics
     prune reads); the global order of an ordered model is kept this way
     without a single sorted partition.
+    ``audits``: counted while the rows are written and returned; with
+    ``on_violation="error"`` rows that violate one are never shown: the table
+    stays as it was and :class:`AuditError` is raised (``"warn"`` only counts).
+
+    The rows are written beside the table. An unpartitioned table with the same
+    columns then takes them in one catalog statement, so readers find the old
+    rows or the new ones. Otherwise (other columns, partitions) the old table is
+    dropped and the new one renamed, two statements; a table that must change
+    its columns in one step is a versioned one.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     spark = df.sparkSession
-    # A replaced table is written beside the old one and takes its name at the
-    # end: a refresh that fails leaves the old rows readable.
     exists = table_exists(spark, table)
-    name = f"{table}__next_{uuid.uuid4().hex[:12]}" if exists else table
-    w = df.write.format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    swap = exists and _same_layout(spark, table, df, partition_by)
+    watched, violations = observed_audits(df, audits)
+    aside = f"{table}__next_{uuid.uuid4().hex[:12]}"
+    path = f"{_location(spark, table).rsplit('/', 1)[0]}/{aside.rsplit('.', 1)[-1]}" if swap else None
     try:
-        w.saveAsTable(name)
+        if swap:
+            watched.write.parquet(path)
+        else:
+            # The empty table first: metrics of a CREATE ... AS SELECT are not observed.
+            spark.createDataFrame([], df.schema).write.format("parquet").partitionBy(*partition_by).saveAsTable(aside)
+            watched.select(*spark.table(aside).columns).write.insertInto(aside)
+        found = violations()
+        bad = {k: n for k, n in found.items() if n}
+        if bad and on_violation == "error":
+            raise AuditError("; ".join(f"{k}: {n}" for k, n in bad.items()))
     except Exception:
-        if exists:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _unstage(spark, path) if swap else spark.sql(f"DROP TABLE IF EXISTS {aside}")
         raise
-    if exists:
-        _take_name(spark, name, table, bool(partition_by))
+    if swap:
+        _point_to(spark, table, path)
+    else:
+        _take_name(spark, aside, table, bool(partition_by))
     if comment is not None or column_comments:
-        with_comments(df.sparkSession, table, comment, column_comments)
+        with_comments(spark, table, comment, column_comments)
+    return found
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

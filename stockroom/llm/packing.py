@@ -4,7 +4,9 @@ Documents become token pieces of at most ``capacity`` tokens. Pieces are dealt
 by hash into regions of bounded size. In each region several islands evolve
 packings: crossover injects whole well-filled bins of one parent into another,
 drops the bins they overlap and places the displaced pieces by best fit,
-longest first. After an epoch each island's elite moves to the next island of
+longest first. The first packings are best fits in an order by chance, some
+percent above the least possible number of bins; crossover and mutation bring
+them there. After an epoch each island's elite moves to the next island of
 its region; after the last epoch the region's best packing is taken.
 
 Defined results: null and empty texts are one piece with the end token alone;
@@ -27,11 +29,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockroom.llm.textbytes import Memo, column
+from stockroom.llm.textbytes import U64, Memo, column, mix64, slices, string_bytes, word_spans
 from stockroom.session import ensure_checkpoint_dir
 
 CAPACITY, REGION_ITEMS, ISLANDS, EPOCHS = 2048, 4096, 3, 2
-POPULATION, GENERATIONS = 4, 4
+POPULATION, GENERATIONS = 4, 40
+SLICE_BYTES = 1 << 20
 
 
 #: Runs of these letters and signs alone are their own NFC form, and their
@@ -59,6 +62,7 @@ class WordTokenizer:
         self.model.normalizer = Sequence([])
         self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache, self.words = Memo(cache_size), Memo(cache_size)
+        self.table = WordTable(2 * cache_size)
 
     def _ids(self, lib, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,17 +84,174 @@ class WordTokenizer:
             cache[r] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
         cache.update(zip(odd, self._ids(self.lib, [r.decode() for r in odd])))
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        runs = [t.encode().split() if t else [] for t in texts]
-        new = self.cache.missing(set().union(*runs))
+    def runs(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of whole runs, little-endian 32-bit."""
+        new = self.cache.missing(set(runs))
         for i in range(0, len(new), 50_000):
             self._learn(new[i:i + 50_000])
-        get = self.cache.now.__getitem__
-        return [b"".join(map(get, r)) for r in runs]
+        return list(map(self.cache.now.__getitem__, runs))
+
+    def plain_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are normalised and cut already."""
+        return self._ids(self.model, [w.decode() for w in words])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's ids begin.
+
+        Plain runs are put in lower case and cut into words as arrays. Words of
+        up to 16 bytes are looked up as two numbers each, all at once; those that
+        the table does not hold yet, longer ones and other runs go one by one."""
+        lower, starts, ends, plain = _units(data, offsets)
+        size = ends - starts
+        low, high = _eight_bytes(lower, starts, size), _eight_bytes(lower, starts + 8, size - 8)
+        key = mix64(low ^ mix64(high + size.astype(np.uint64)))
+        table, short = self.table, plain & (size <= 16)
+        at, known = table.find(key, low, high, size, short)
+        body, low_body = data.tobytes(), lower.tobytes()
+        new = np.flatnonzero(short & ~known)
+        if len(new):
+            new = new[np.unique(key[new], return_index=True)[1]]
+            table.add(key[new], low[new], high[new], size[new],
+                      self.plain_words([low_body[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist())]))
+            at, known = table.find(key, low, high, size, short)      # rows have moved
+        rest = np.flatnonzero(~known)
+        is_word = plain[rest].tolist()
+        cut = list(zip(starts[rest].tolist(), ends[rest].tolist(), is_word))
+        whole = iter(self.runs([body[i:j] for i, j, w in cut if not w]))
+        words = iter(self.plain_words([low_body[i:j] for i, j, w in cut if w]))
+        apart = [next(words) if w else next(whole) for w in is_word]
+        count = np.zeros(len(size), np.int64)
+        count[known] = table.count[at[known]]
+        count[rest] = [len(x) // 4 for x in apart]
+        begin = np.r_[0, np.cumsum(count)]
+        ids = np.zeros(int(begin[-1]), np.uint32)
+        for rows, source, pool in ((known, table.start[at[known]] if len(at) else count, table.pool),
+                                   (rest, np.cumsum(count[rest]) - count[rest], np.frombuffer(b"".join(apart), np.uint32))):
+            n, to = count[rows], begin[:-1][rows]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            ids[step + np.repeat(to, n)] = pool[step + np.repeat(source, n)]
+        return ids, begin[np.searchsorted(starts, offsets)]
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        data, offsets = string_bytes(pa.array(texts, pa.large_string()))
+        ids, begin = self.encode(data, offsets)
+        return [ids[i:j].tobytes() for i, j in zip(begin[:-1].tolist(), begin[1:].tolist())]
+
+
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The text in lower case (plain runs only), starts and ends of words of
+    plain runs and of all other runs as they are, and which are the former. Plain
+    runs hold only what ``PLAIN`` lists, no apostrophe (it can open a word of its
+    own) and no start of a special token."""
+    starts, ends, _ = word_spans(data, offsets)
+    n = len(data)
+    before = np.r_[np.zeros(min(n, 1), np.uint8), data[:-1]]
+    after = np.r_[data[1:], np.zeros(min(n, 1), np.uint8)]
+    second = (before == 0xC3) & (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+    lead = (data == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    ascii_ = (data >= 0x21) & (data <= 0x7E) & (data != 0x27) & ~((data == 0x3C) & (after == 0x7C))
+    odd = np.r_[0, np.cumsum(~(ascii_ | second | lead))]
+    run_plain = odd[ends] == odd[starts]
+    upper = ((data >= 0x41) & (data <= 0x5A)) | (second & (data <= 0x9E))
+    lower = data + (upper * np.uint8(32)).astype(np.uint8)
+    digit = (lower >= 0x30) & (lower <= 0x39)
+    letter = ((lower >= 0x61) & (lower <= 0x7A)) | second | lead
+    kind = digit * np.uint8(2) + letter
+    opens = digit.copy()
+    opens[1:] |= kind[1:] != kind[:-1]
+    edge = np.zeros(n + 1, np.int8)              # inside plain runs
+    edge[starts[run_plain]] += 1
+    edge[ends[run_plain]] -= 1
+    opens &= np.cumsum(edge[:-1]).astype(bool)
+    opens[starts] = True
+    unit = np.flatnonzero(opens)
+    run = np.searchsorted(starts, unit, "right") - 1
+    till = ends[run]
+    if len(unit):
+        till[:-1] = np.minimum(till[:-1], unit[1:])
+    return lower, unit, till, run_plain[run]
+
+
+def _eight_bytes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes from ``at`` on, ``size`` (up to eight) of them, as one number."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    loads = np.ndarray(len(data) + 9, "<u8", padded.data, strides=(1,))
+    keep = np.clip(size, 0, 8)
+    mask = np.where(keep == 8, U64(0xFFFFFFFFFFFFFFFF), (U64(1) << (U64(8) * (keep % 8).astype(np.uint64))) - U64(1))
+    return loads[np.minimum(at, len(data))] & mask
+
+
+class WordTable:
+    """Words of up to 16 bytes, sorted by a hash, with their ids; of words that
+    share a hash only one is in it. When it is full, what was not looked for since
+    it was last full goes."""
+
+    def __init__(self, size: int):
+        self.limit = size
+        self.key = self.low = self.high = np.zeros(0, np.uint64)
+        self.size = self.start = self.count = np.zeros(0, np.int64)
+        self.used = np.zeros(0, bool)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _index(self) -> None:
+        """Where the keys with the same first bits begin; keys are hashes, so
+        there are few of each."""
+        self.shift = U64(64 - max(1, len(self.key).bit_length()))
+        first = (self.key >> self.shift).astype(np.int64)
+        self.begin = np.searchsorted(first, np.arange((1 << 64 - int(self.shift)) + 1))
+        self.most = int(np.diff(self.begin).max())
+
+    def _locate(self, key: np.ndarray) -> np.ndarray:
+        """Row of each key, or of the next one after it."""
+        at = self.begin[(key >> self.shift).astype(np.int64)]
+        last = len(self.key) - 1
+        behind = np.flatnonzero(self.key[np.minimum(at, last)] < key)
+        for _ in range(self.most):
+            if not len(behind):
+                break
+            at[behind] += 1
+            behind = behind[self.key[np.minimum(at[behind], last)] < key[behind]]
+        return np.minimum(at, last)
+
+    def find(self, key, low, high, size, wanted) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each ``wanted`` word and whether it is that very word."""
+        if not len(self.key):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        at = self._locate(key)
+        known = wanted & (self.key[at] == key) & (self.low[at] == low) & (self.high[at] == high) & (self.size[at] == size)
+        self.used[at[known]] = True
+        return at, known
+
+    def add(self, key, low, high, size, ids: list[bytes]) -> None:
+        new = np.ones(len(key), bool)
+        if len(self.key):
+            new = self.key[self._locate(key)] != key
+        key, low, high, size = key[new], low[new], high[new], size[new]
+        ids = [x for x, ok in zip(ids, new.tolist()) if ok]
+        if len(self.key) + len(key) > self.limit:
+            self._keep(self.used)
+            self.used[:] = False
+        count = np.array([len(x) // 4 for x in ids], np.int64)
+        start = len(self.pool) + np.cumsum(count) - count
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint32)])
+        order = np.argsort(np.concatenate([self.key, key]), kind="stable")
+        join = lambda a, b: np.concatenate([a, b])[order]
+        self.key, self.low, self.high = join(self.key, key), join(self.low, low), join(self.high, high)
+        self.size, self.start, self.count = join(self.size, size), join(self.start, start), join(self.count, count)
+        self.used = join(self.used, np.ones(len(key), bool))
+        self._index()
+
+    def _keep(self, rows: np.ndarray) -> None:
+        for c in ("key", "low", "high", "size", "start", "count", "used"):
+            setattr(self, c, getattr(self, c)[rows])
+        begin = np.cumsum(self.count) - self.count
+        self.pool = self.pool[np.arange(int(self.count.sum())) + np.repeat(self.start - begin, self.count)]
+        self.start = begin
 
 
 _LOADED: dict[str, WordTokenizer] = {}
 
+SALT = "salt__"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -103,11 +264,15 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         tok = _LOADED[path]
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            texts, ids = column(batch, "text").to_pylist(), column(batch, "doc_id").to_pylist()
+            ids = column(batch, "doc_id").to_pylist()
+            data, offsets = string_bytes(column(batch, "text"))
             rows = []
-            for i in range(0, len(texts), 500):
-                for d, enc in zip(ids[i:i + 500], tok.encode_batch(texts[i:i + 500])):
-                    enc += end
+            for i, j in slices(offsets, SLICE_BYTES):
+                off = offsets[i:j + 1]
+                flat, begin = tok.encode(data[off[0]:off[-1]], off - off[0])
+                body = flat.astype("<u4").tobytes()
+                for d, a, b in zip(ids[i:j], (4 * begin[:-1]).tolist(), (4 * begin[1:]).tolist()):
+                    enc = body[a:b] + end
                     for p, at in enumerate(range(0, len(enc), 4 * capacity)):
                         part = enc[at:at + 4 * capacity]
                         rows.append((d, p, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -167,26 +332,56 @@ def crossover(lengths: np.ndarray, a: np.ndarray, b: np.ndarray, rng, capacity:
     return child
 
 
-def evolve(lengths: np.ndarray, start: list[np.ndarray], seed: int, capacity: int,
-           population: int = POPULATION, generations: int = GENERATIONS) -> list[np.ndarray]:
-    """Packings of ``lengths`` (falling), best first. ``start``: immigrants."""
+def refit(lengths: np.ndarray, bins: np.ndarray, share: float, rng, capacity: int) -> np.ndarray:
+    """Mutation: the emptiest bins and as many others by chance, ``share`` of all
+    together, are taken apart and their items placed by best fit."""
+    fill = np.bincount(bins, weights=lengths)
+    n = max(2, int(len(fill) * share))
+    gone = np.zeros(len(fill), bool)
+    gone[np.argsort(fill, kind="stable")[:n - n // 2]] = True
+    gone[rng.choice(len(fill), min(n, len(fill)) // 2, replace=False)] = True
+    if share >= 1:
+        gone[:] = True
+    loose = gone[bins]
+    child = np.where(loose, -1, bins)
+    child[~loose], used = renumber(child[~loose])
+    room = np.full(len(lengths) + 1, capacity, np.int64)
+    room[:used] -= np.bincount(child[~loose], weights=lengths[~loose], minlength=used).astype(np.int64)
+    best_fit(lengths, np.flatnonzero(loose).tolist(), child, room, used, capacity)
+    return child
+
+
+def evolve(lengths: np.ndarray, start: list[np.ndarray], seed: int, capacity: int, population: int = POPULATION,
+           generations: int = GENERATIONS, history: list | None = None) -> list[np.ndarray]:
+    """Packings of ``lengths`` (falling), best first. ``start``: immigrants; the
+    others begin as best fits in an order by chance. Two children a generation
+    come by crossover; a generation that finds no better packing is followed by
+    a mutation of the best one, of a share that doubles until one is found.
+    Ends at the least possible number of bins. ``history`` gets the fewest bins
+    after each generation."""
     rng = np.random.default_rng(seed)
     n = len(lengths)
     pool = list(start)
     while len(pool) < population:
-        order = np.arange(n) if not pool else np.argsort(-lengths * rng.uniform(0.8, 1.0, n), kind="stable")
         bins, room = np.full(n, -1, np.int64), np.full(n + 1, capacity, np.int64)
-        best_fit(lengths, order.tolist(), bins, room, 0, capacity)
+        best_fit(lengths, rng.permutation(n).tolist(), bins, room, 0, capacity)
         pool.append(bins)
     key = lambda x: fitness(lengths, x, capacity)
     pool.sort(key=key, reverse=True)
     floor = -(-int(lengths.sum()) // capacity)
+    share = 1 / 16
     for _ in range(generations):
-        if -key(pool[0])[0] <= floor:   # no packing can have fewer bins
+        best = key(pool[0])
+        if history is not None:
+            history.append(-best[0])
+        if -best[0] <= floor:   # no packing can have fewer bins
             break
         i, j = rng.choice(len(pool), 2, replace=False)
-        pool = sorted([*pool, crossover(lengths, pool[i], pool[j], rng, capacity),
-                       crossover(lengths, pool[j], pool[i], rng, capacity)], key=key, reverse=True)[:population]
+        new = [crossover(lengths, pool[i], pool[j], rng, capacity), crossover(lengths, pool[j], pool[i], rng, capacity)]
+        if max(map(key, new))[0] <= best[0]:
+            new.append(refit(lengths, pool[0], share, rng, capacity))
+            share = 2 * share if key(new[-1])[0] <= best[0] else 1 / 16
+        pool = sorted([*pool, *new], key=key, reverse=True)[:population]
     return pool
 
 
@@ -198,8 +393,10 @@ def _ordered(items: pd.DataFrame) -> pd.DataFrame:
 def pack_pieces(pieces: DataFrame, n_regions: int, capacity: int = CAPACITY, islands: int = ISLANDS,
                 epochs: int = EPOCHS) -> DataFrame:
     """``pieces`` plus sequence_id and offset."""
-    region = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_regions)).cast("int")
-    items = pieces.withColumn("region", region)
+    # Rows with the same or no doc_id are dealt out too: the salt counts rows.
+    salted = pieces if SALT in pieces.columns else pieces.withColumn(SALT, F.monotonically_increasing_id()).checkpoint()
+    region = F.pmod(F.xxhash64("doc_id", "piece", SALT), F.lit(n_regions)).cast("int")
+    items = salted.withColumn("region", region).drop(SALT)
     short = items.where(F.col("length") < capacity).select("region", "doc_id", "piece", "ids_crc32", "length")
     dealt = short.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
     kinds = "region int, island int, packing binary, bins long, filling double"
@@ -260,7 +457,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, path: str, capacity: in
     """PIECES columns with sequence_id and offset for every document."""
     ensure_checkpoint_dir(spark)
     # A few dozen bytes a piece; the texts are tokenised once.
-    pieces = cut_pieces(docs, path, capacity).checkpoint()
+    pieces = cut_pieces(docs, path, capacity).withColumn(SALT, F.monotonically_increasing_id()).checkpoint()
     n = pieces.count()
     return pack_pieces(pieces, max(1, -(-n // REGION_ITEMS)), capacity)
 

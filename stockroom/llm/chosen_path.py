@@ -3,12 +3,12 @@
 Each distinct text is a set of hashed five-word shingles. A run sends a set
 down a path: at each node the set takes the token that the node's own hash puts
 first, and sets that took the same token stay together. Splitting goes on only
-while a bucket is larger than ``BRUTE``; buckets that are still larger at the
-last level hold sets alike to one another and are compared in pairs of blocks.
-Inside buckets every pair is compared exactly. Two sets of similarity s share a
-bucket of depth k with probability s^k a run, and runs are repeated until a pair
-of 0.8 is found with probability TARGET: eight runs for depth one. Texts that
-some run splits further take part in as many runs as the last level needs (22).
+while a bucket is larger than ``BRUTE`` and splitting it parts its sets; buckets
+that are still larger then hold sets alike to one another and are compared in
+pairs of blocks. Inside buckets every pair is compared exactly. Two sets of
+similarity s share a bucket of depth k with probability s^k a run, and runs are
+repeated until a pair of 0.8 is found with probability TARGET: eight runs for
+depth one, and 12, 17 or 22 for texts that some run splits to depth two to four.
 
 A pair is compared in the first run that brings it together: texts without a
 new partner in a bucket are not sent there. Pairs are counted where they are
@@ -39,6 +39,8 @@ SHINGLE = 5
 #: Probability of finding a pair of similarity 0.8.
 TARGET = 0.99999
 LEVELS = 4
+#: A bucket with this share of the one above it is not split further.
+ALIKE = 0.75
 BRUTE, BLOCK = 256, 1024
 SLICE_BYTES = 1 << 20
 TOKEN_BYTES = 5
@@ -109,41 +111,68 @@ def _features(batches: Iterator[pa.RecordBatch], runs: int, levels: int) -> Iter
                  pa.array(listed, pa.list_(pa.int64()))], names=["doc_id", "tkey", "n", "nodes"])
 
 
-def buckets(texts: DataFrame) -> DataFrame:
-    """uid, run, bucket, size: split while a bucket is larger than BRUTE. Two
-    texts that are both split further meet in all runs of the last level; any
-    other pair can only be parted at the first, in the runs for that."""
-    few, every = runs_for(1), runs_for(LEVELS)
-    out, deep = _split(texts, 0, few)
-    if deep is not None:
-        more, _ = _split(texts.join(deep, "uid", "left_semi"), few, every)
-        out = out.unionByName(more)
+def buckets(texts: DataFrame, deep_nodes) -> DataFrame:
+    """uid, run, bucket, size: split while a bucket is larger than BRUTE and
+    splitting it helps. ``texts`` has the first nodes of the runs that depth one
+    takes; ``deep_nodes`` makes all nodes of the texts of a column uid.
+
+    A text takes part in as many runs as the greatest depth it has come to takes.
+    Two texts share as many runs as the lesser of their depths takes, and their
+    buckets are never split further than that, so every pair is found with
+    probability TARGET."""
+    first = texts.where(F.col("nodes").isNotNull()).select(
+        "uid", F.posexplode("nodes").alias("run", "bucket"))
+    met = _with_sizes(first).checkpoint()
+    done = met if LEVELS == 1 else met.where(F.col("size") <= BRUTE)
+    out = done.select("uid", "run", "bucket", "size")
+    rows = met.where(F.col("size") > BRUTE).select("uid", "run", F.col("size").alias("parent"))
+    if LEVELS == 1 or rows.isEmpty():
+        return out
+    nodes = deep_nodes(rows.select("uid").distinct()).checkpoint()
+    rows = rows.join(nodes, "uid").select("uid", "run", "parent", F.slice("nodes", F.col("run") * LEVELS + 1, LEVELS).alias("path"))
+    found, reached = _split(rows, 1)
+    reached = [(2, nodes.select("uid")), *reached]
+    out = out.unionByName(found)
+    for depth in range(2, LEVELS + 1):
+        deep = [uids for d, uids in reached if d >= depth]
+        if not deep:
+            break
+        active = deep[0]
+        for uids in deep[1:]:
+            active = active.unionByName(uids)
+        every = F.sequence(F.lit(runs_for(depth - 1)), F.lit(runs_for(depth) - 1))
+        rows = nodes.join(active.distinct(), "uid").select("uid", F.explode(every).alias("run"), "nodes").select(
+            "uid", "run", F.lit(None).cast("long").alias("parent"), F.slice("nodes", F.col("run") * LEVELS + 1, LEVELS).alias("path"))
+        found, more = _split(rows, 0)
+        out, reached = out.unionByName(found), reached + more
     return out
 
 
-def _split(texts: DataFrame, begin: int, end: int) -> tuple[DataFrame, DataFrame | None]:
-    """Buckets of the runs, and the texts that went beyond the first level."""
-    rows = texts.where(F.col("nodes").isNotNull()).select(
-        "uid", F.explode(F.sequence(F.lit(begin), F.lit(end - 1))).alias("run"), "nodes").select(
-        "uid", "run", F.slice("nodes", F.col("run") * LEVELS + 1, LEVELS).alias("path"))
-    out = deep = None
-    for k in range(LEVELS):
-        keyed = rows.select("uid", "run", "path", F.get("path", F.lit(k)).alias("bucket"))
-        many = keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        # Rows without a partner end here; what is left is much smaller.
-        rows = keyed.join(many, "bucket").checkpoint()
-        last = k == LEVELS - 1
-        done = rows if last else rows.where(F.col("size") <= BRUTE)
-        done = done.select("uid", "run", "bucket", "size")
+def _with_sizes(rows: DataFrame) -> DataFrame:
+    """Rows whose bucket has a partner for them, with its size. The others end
+    here; what is left is much smaller."""
+    many = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return rows.join(many, "bucket")
+
+
+def _split(rows: DataFrame, level: int) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
+    """Buckets of the paths from ``level`` on, and the texts that went on to each
+    further depth. A bucket that holds most of the one above is not split again:
+    its texts are alike, so their paths stay together."""
+    out, reached = None, []
+    for k in range(level, LEVELS):
+        met = _with_sizes(rows.withColumn("bucket", F.get("path", F.lit(k)))).checkpoint()
+        ends = F.lit(True) if k == LEVELS - 1 else (F.col("size") <= BRUTE) | F.coalesce(
+            F.col("size") >= ALIKE * F.col("parent"), F.lit(False))
+        done = met.where(ends).select("uid", "run", "bucket", "size")
         out = done if out is None else out.unionByName(done)
-        if last:
+        if k == LEVELS - 1:
             break
-        rows = rows.where(F.col("size") > BRUTE).select("uid", "run", "path")
+        rows = met.where(~ends).select("uid", "run", F.col("size").alias("parent"), "path")
         if rows.isEmpty():
             break
-        if k == 0:
-            deep = rows.select("uid").distinct()
-    return out, deep
+        reached.append((k + 2, rows.select("uid").distinct()))
+    return out, reached
 
 
 MEMBER = "bucket long, run int, size long, uid long, met array<long>"
@@ -348,12 +377,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     (other rows linked, equal texts included): one row per row of ``docs``."""
     ensure_checkpoint_dir(spark)
     docs = docs.select("doc_id", "text")
-    runs, levels = runs_for(LEVELS), LEVELS
-    known = docs.where("doc_id is not null").mapInArrow(
-        lambda batches: _features(batches, runs, levels), "doc_id long, tkey binary, n long, nodes array<long>").checkpoint()
+    runs, levels, first = runs_for(LEVELS), LEVELS, runs_for(1)
+    kinds = "doc_id long, tkey binary, n long, nodes array<long>"
+    known = docs.where("doc_id is not null").mapInArrow(lambda batches: _features(batches, first, 1), kinds).checkpoint()
     texts = known.groupBy("tkey").agg(F.min("doc_id").alias("uid"), F.count("*").alias("copies"),
                                       F.first("nodes").alias("nodes")).checkpoint()
-    found = buckets(texts)
+
+    def deep_nodes(uids: DataFrame) -> DataFrame:
+        own = docs.join(uids, F.col("doc_id") == F.col("uid"), "left_semi").dropDuplicates(["doc_id"])
+        return own.mapInArrow(lambda batches: _features(batches, runs, levels), kinds).select(F.col("doc_id").alias("uid"), "nodes")
+
+    found = buckets(texts, deep_nodes)
     # Each text's buckets of earlier runs (0: none), sent along with every membership.
     by_run = found.groupBy("uid").agg(F.collect_list(F.struct("run", "bucket", "size")).alias("own"))
     met = by_run.select("uid", "own", F.transform(

@@ -356,19 +356,21 @@ def evolve(lengths: np.ndarray, start: list[np.ndarray], seed: int, capacity: in
     """Packings of ``lengths`` (falling), best first. ``start``: immigrants; the
     others begin as best fits in an order by chance. Two children a generation
     come by crossover; a generation that finds no better packing is followed by
-    a mutation of the best one, of a share that doubles until one is found.
-    Ends at the least possible number of bins. ``history`` gets the fewest bins
+    a mutation of the best one, of a share that grows fourfold until one is found.
+    Ends at the least possible number of bins, or when all items were packed
+    anew in vain. ``history`` gets the fewest bins
     after each generation."""
     rng = np.random.default_rng(seed)
     n = len(lengths)
     pool = list(start)
-    while len(pool) < population:
+    floor = -(-int(lengths.sum()) // capacity)
+    done = any(int(p.max(initial=-1)) + 1 <= floor for p in pool)
+    while len(pool) < (len(start) if done else population):
         bins, room = np.full(n, -1, np.int64), np.full(n + 1, capacity, np.int64)
         best_fit(lengths, rng.permutation(n).tolist(), bins, room, 0, capacity)
         pool.append(bins)
     key = lambda x: fitness(lengths, x, capacity)
     pool.sort(key=key, reverse=True)
-    floor = -(-int(lengths.sum()) // capacity)
     share = 1 / 16
     for _ in range(generations):
         best = key(pool[0])
@@ -380,7 +382,12 @@ def evolve(lengths: np.ndarray, start: list[np.ndarray], seed: int, capacity: in
         new = [crossover(lengths, pool[i], pool[j], rng, capacity), crossover(lengths, pool[j], pool[i], rng, capacity)]
         if max(map(key, new))[0] <= best[0]:
             new.append(refit(lengths, pool[0], share, rng, capacity))
-            share = 2 * share if key(new[-1])[0] <= best[0] else 1 / 16
+            if key(new[-1])[0] > best[0]:
+                share = 1 / 16
+            elif share < 1:
+                share *= 4
+            else:
+                break       # not even a packing of all items anew is better
         pool = sorted([*pool, *new], key=key, reverse=True)[:population]
     return pool
 

@@ -490,13 +490,92 @@ def test_only_empty_texts(spark, odd, odd_labels):
 def test_pipeline_stages_on_odd_tables(spark, odd, odd_labels, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     odd_labels.write.parquet(f"{tmp_path}/labels.parquet")
-    for name, stage in pipeline.STAGES[:-1]:
-        out = stage(spark, odd, str(tmp_path))
-        assert out.columns == odd.columns, name
-        assert out.where("doc_id is null").count() == 2, name     # no verdict can name them
-        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0, name
-    kept = pipeline.near_duplicate_stage(spark, odd, str(tmp_path))
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "5", "None", "None"]
+    # A null id changes no verdict: junk and copies without one go too.
+    clash = odd.withColumn("row_key__", F.lit("x")).withColumn("given__", F.lit("y"))
+    scored = quality_fm.classify(odd, odd_labels).where("doc_id is null and predicted = 1").count()
+    for table in (odd, clash):
+        for (name, stage), nulls in zip(pipeline.STAGES[:-1], (1, scored, 0, 2)):
+            out = stage(spark, table, str(tmp_path))
+            assert out.columns == table.columns, name
+            assert out.where("doc_id is null").count() == nulls, name
+            assert stage(spark, table.limit(0), str(tmp_path)).count() == 0, name
+        kept = pipeline.near_duplicate_stage(spark, table, str(tmp_path))
+        assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "5"]
+    assert {(r.row_key__, r.given__) for r in pipeline.substring_dedup_stage(spark, clash, "").collect()} == {("x", "y")}
+
+
+def _near_brute(rows):
+    """Ids that stay: the least of each component of texts at 0.8 or more."""
+    def shingles(t):
+        w = re.findall("[^\x20\x09-\x0D]+", t or "")
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+    sets, root = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    at = collections.defaultdict(list)
+    for i, s in sets.items():
+        for x in s or {()}:
+            at[x].append(i)
+    done = set()
+    for ids in at.values():
+        for a in ids:
+            for b in ids:
+                if a < b and (a, b) not in done:
+                    done.add((a, b))
+                    same = not sets[a] and not sets[b]
+                    if same or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                        x, y = find(a), find(b)
+                        root[max(x, y)] = min(x, y)
+    return {i for i in root if find(i) == i}
+
+
+def _windows_brute(rows):
+    """Texts without the words of 13-word windows that a smaller document has."""
+    words = {i: re.findall("[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    first = {}
+    for i, w in words.items():
+        for k in range(len(w) - 12):
+            x = tuple(w[k:k + 13])
+            first[x] = min(first.get(x, i), i)
+    out = {}
+    for i, w in words.items():
+        gone = [False] * len(w)
+        for k in range(len(w) - 12):
+            if first[tuple(w[k:k + 13])] < i:
+                gone[k:k + 13] = [True] * 13
+        out[i] = [x for x, g in zip(w, gone) if not g]
+    return out
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    from tokenizers import Tokenizer
+    pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    ruled = pipeline.quality_rules_stage(spark, docs, sf).cache()
+    kept = {r.doc_id for r in quality_rules.score_documents(spark, docs, labels).where("kept").collect()}
+    assert {r.doc_id for r in ruled.collect()} == kept
+    good = pipeline.quality_classifier_stage(spark, ruled, sf).cache()
+    assert {r.doc_id for r in good.collect()} == {r.doc_id for r in quality_fm.classify(ruled, labels).where("predicted = 1").collect()}
+    rows = [(r.doc_id, r.text) for r in good.collect()]
+    near = pipeline.near_duplicate_stage(spark, good, sf).cache()
+    assert {r.doc_id for r in near.collect()} == _near_brute(rows)
+    left = [(i, t) for i, t in rows if i in _near_brute(rows)]
+    parts = pipeline.substring_dedup_stage(spark, near, sf).cache()
+    got = {r.doc_id: r for r in parts.collect()}
+    for i, words in _windows_brute(left).items():
+        assert (got[i].text or "").split() == words and got[i].n_chars == len(got[i].text or "")
+    lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    packed = pipeline.packing_stage(spark, parts, sf).collect()
+    per = collections.Counter()
+    for r in packed:
+        per[r.doc_id] += r.length
+    assert per == {i: len(lib.encode(r.text or "", add_special_tokens=False).ids) + 1 for i, r in got.items()}
+    assert len({r.sequence_id for r in packed}) <= -(-sum(per.values()) // 2048) + 1
 
 
 def test_pipeline_texts_that_share_an_id(spark, tmp_path):

@@ -106,30 +106,32 @@ class WordTokenizer:
         low, high = _eight_bytes(lower, starts, size), _eight_bytes(lower, starts + 8, size - 8)
         key = mix64(low ^ mix64(high + size.astype(np.uint64)))
         table, short = self.table, plain & (size <= 16)
-        at, known = table.find(key, low, high, size, short)
+        known, source, count = table.find(key, low, high, size, short)
         body, low_body = data.tobytes(), lower.tobytes()
         new = np.flatnonzero(short & ~known)
         if len(new):
             new = new[np.unique(key[new], return_index=True)[1]]
-            table.add(key[new], low[new], high[new], size[new],
-                      self.plain_words([low_body[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist())]))
-            at, known = table.find(key, low, high, size, short)      # rows have moved
+            moved = table.add(key[new], low[new], high[new], size[new],
+                              self.plain_words([low_body[i:j] for i, j in zip(starts[new].tolist(), ends[new].tolist())]))
+            if moved:
+                known, source, count = table.find(key, low, high, size, short)
+            else:
+                more, start, n = table.find(key, low, high, size, short & ~known)
+                known, source, count = known | more, source + start, count + n
         rest = np.flatnonzero(~known)
         is_word = plain[rest].tolist()
         cut = list(zip(starts[rest].tolist(), ends[rest].tolist(), is_word))
         whole = iter(self.runs([body[i:j] for i, j, w in cut if not w]))
         words = iter(self.plain_words([low_body[i:j] for i, j, w in cut if w]))
         apart = [next(words) if w else next(whole) for w in is_word]
-        count = np.zeros(len(size), np.int64)
-        count[known] = table.count[at[known]]
         count[rest] = [len(x) // 4 for x in apart]
         begin = np.r_[0, np.cumsum(count)]
         ids = np.zeros(int(begin[-1]), np.uint32)
-        for rows, source, pool in ((known, table.start[at[known]] if len(at) else count, table.pool),
-                                   (rest, np.cumsum(count[rest]) - count[rest], np.frombuffer(b"".join(apart), np.uint32))):
+        for rows, first, pool in ((known, source[known], table.pool),
+                                  (rest, np.cumsum(count[rest]) - count[rest], np.frombuffer(b"".join(apart), np.uint32))):
             n, to = count[rows], begin[:-1][rows]
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            ids[step + np.repeat(to, n)] = pool[step + np.repeat(source, n)]
+            ids[step + np.repeat(to, n)] = pool[step + np.repeat(first, n)]
         return ids, begin[np.searchsorted(starts, offsets)]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
@@ -181,30 +183,31 @@ def _eight_bytes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarr
     return loads[np.minimum(at, len(data))] & mask
 
 
-class WordTable:
-    """Words of up to 16 bytes, sorted by a hash, with their ids; of words that
-    share a hash only one is in it. When it is full, what was not looked for since
-    it was last full goes."""
+class _Sorted:
+    """Words by a hash, as columns. Keys are hashes, so few share their first bits:
+    a row is found from where these begin."""
 
-    def __init__(self, size: int):
-        self.limit = size
-        self.key = self.low = self.high = np.zeros(0, np.uint64)
-        self.size = self.start = self.count = np.zeros(0, np.int64)
-        self.used = np.zeros(0, bool)
-        self.pool = np.zeros(0, np.uint32)
-
-    def _index(self) -> None:
-        """Where the keys with the same first bits begin; keys are hashes, so
-        there are few of each."""
-        self.shift = U64(64 - max(1, len(self.key).bit_length()))
-        first = (self.key >> self.shift).astype(np.int64)
-        self.begin = np.searchsorted(first, np.arange((1 << 64 - int(self.shift)) + 1))
-        self.most = int(np.diff(self.begin).max())
-
-    def _locate(self, key: np.ndarray) -> np.ndarray:
+    COLUMNS = ("key", "low", "high", "size", "start", "count", "used")
+
+    def __init__(self, key, *columns):
+        order = np.argsort(key, kind="stable")
+        for name, c in zip(self.COLUMNS, (key, *columns)):
+            setattr(self, name, c[order])
+        self.shift = U64(64 - max(1, len(key).bit_length()))
+        self.begin = np.searchsorted((self.key >> self.shift).astype(np.int64), np.arange((1 << 64 - int(self.shift)) + 1))
+        self.most = int(np.diff(self.begin).max(initial=0))
+
+    @classmethod
+    def none(cls) -> "_Sorted":
+        u, i = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return cls(u, u, u, i, i, i, np.zeros(0, bool))
+
+    def with_(self, other: "_Sorted", rows=slice(None)) -> "_Sorted":
+        return _Sorted(*(np.concatenate([getattr(self, c)[rows], getattr(other, c)]) for c in self.COLUMNS))
+
+    def row(self, key: np.ndarray) -> np.ndarray:
         """Row of each key, or of the next one after it."""
-        at = self.begin[(key >> self.shift).astype(np.int64)]
-        last = len(self.key) - 1
+        at, last = self.begin[(key >> self.shift).astype(np.int64)], len(self.key) - 1
         behind = np.flatnonzero(self.key[np.minimum(at, last)] < key)
         for _ in range(self.most):
             if not len(behind):
@@ -213,40 +216,68 @@ class WordTable:
             behind = behind[self.key[np.minimum(at[behind], last)] < key[behind]]
         return np.minimum(at, last)
 
-    def find(self, key, low, high, size, wanted) -> tuple[np.ndarray, np.ndarray]:
-        """Row of each ``wanted`` word and whether it is that very word."""
-        if not len(self.key):
-            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        at = self._locate(key)
-        known = wanted & (self.key[at] == key) & (self.low[at] == low) & (self.high[at] == high) & (self.size[at] == size)
-        self.used[at[known]] = True
-        return at, known
-
-    def add(self, key, low, high, size, ids: list[bytes]) -> None:
-        new = np.ones(len(key), bool)
-        if len(self.key):
-            new = self.key[self._locate(key)] != key
-        key, low, high, size = key[new], low[new], high[new], size[new]
-        ids = [x for x, ok in zip(ids, new.tolist()) if ok]
-        if len(self.key) + len(key) > self.limit:
-            self._keep(self.used)
-            self.used[:] = False
+
+class WordTable:
+    """Ids of words of up to 16 bytes, looked up many at once; of words that share
+    a hash only one is in it. New words are kept apart until there are many, so a
+    large table is sorted a few times only. When it is full, what was not looked
+    for since it was last full goes."""
+
+    def __init__(self, size: int):
+        self.limit = size
+        self.old, self.new = _Sorted.none(), _Sorted.none()
+        self.pool, self.filled = np.zeros(1 << 16, np.uint32), 0
+
+    def __len__(self) -> int:
+        return len(self.old.key) + len(self.new.key)
+
+    def find(self, key, low, high, size, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the ``wanted`` words are known, where their ids begin, and how many they are."""
+        known = np.zeros(len(key), bool)
+        start, count = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        for part in (self.old, self.new):
+            todo = np.flatnonzero(wanted & ~known)
+            if len(part.key) and len(todo):
+                at = part.row(key[todo])
+                same = ((part.key[at] == key[todo]) & (part.low[at] == low[todo]) & (part.high[at] == high[todo])
+                        & (part.size[at] == size[todo]))
+                at, todo = at[same], todo[same]
+                part.used[at] = True
+                known[todo], start[todo], count[todo] = True, part.start[at], part.count[at]
+        return known, start, count
+
+    def add(self, key, low, high, size, ids: list[bytes]) -> bool:
+        """Take in words that are not in the table, each hash once; whether ids
+        that were found before lie elsewhere now."""
+        free = np.ones(len(key), bool)
+        for part in (self.old, self.new):
+            if len(part.key):
+                free &= part.key[part.row(key)] != key
+        if not free.any():
+            return False
+        ids = [x for x, ok in zip(ids, free.tolist()) if ok]
         count = np.array([len(x) // 4 for x in ids], np.int64)
-        start = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint32)])
-        order = np.argsort(np.concatenate([self.key, key]), kind="stable")
-        join = lambda a, b: np.concatenate([a, b])[order]
-        self.key, self.low, self.high = join(self.key, key), join(self.low, low), join(self.high, high)
-        self.size, self.start, self.count = join(self.size, size), join(self.start, start), join(self.count, count)
-        self.used = join(self.used, np.ones(len(key), bool))
-        self._index()
-
-    def _keep(self, rows: np.ndarray) -> None:
-        for c in ("key", "low", "high", "size", "start", "count", "used"):
-            setattr(self, c, getattr(self, c)[rows])
-        begin = np.cumsum(self.count) - self.count
-        self.pool = self.pool[np.arange(int(self.count.sum())) + np.repeat(self.start - begin, self.count)]
-        self.start = begin
+        start = self.filled + np.cumsum(count) - count
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        while self.filled + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        self.pool[self.filled:self.filled + len(flat)] = flat
+        self.filled += len(flat)
+        self.new = self.new.with_(_Sorted(key[free], low[free], high[free], size[free], start, count, np.ones(len(count), bool)))
+        if len(self) > self.limit:
+            self._forget()
+            return True
+        if len(self.new.key) > max(20_000, len(self.old.key) // 4):
+            self.old, self.new = self.old.with_(self.new), _Sorted.none()
+        return False
+
+    def _forget(self) -> None:
+        self.old, self.new = self.old.with_(self.new, rows=self.old.used), _Sorted.none()
+        self.old.used[:] = False
+        begin = np.cumsum(self.old.count) - self.old.count
+        self.pool = self.pool[np.arange(int(self.old.count.sum())) + np.repeat(self.old.start - begin, self.old.count)]
+        self.old.start, self.filled = begin, len(self.pool)
+        self.pool = np.concatenate([self.pool, np.zeros(1 << 16, np.uint32)])
 
 
 _LOADED: dict[str, WordTokenizer] = {}

@@ -131,3 +131,35 @@ select o.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0)::big
 from (select distinct conv_id from conversations) o
 left join counted c on o.conv_id is not distinct from c.conv_id
 left join chosen e on o.conv_id is not distinct from e.conv_id"""
+
+
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+SUBSTRING_DEDUP = f"""
+with words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+windows as (
+  select doc_id, k, array_to_string(w[k : k + 12], ' ') as gram
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as k from words where len(w) >= 13)),
+firsts as (select gram, min(doc_id) as first_doc from windows group by gram),
+marked as (
+  select doc_id, list(k) as begins from windows w join firsts f on w.gram = f.gram where f.first_doc < w.doc_id group by doc_id),
+gone as (
+  select doc_id, list_distinct(flatten(list_transform(begins, lambda k: range(k, k + 13)))) as places from marked),
+kept as (
+  select w.doc_id, len(w) as n_words, coalesce(len(g.places), 0) as n_removed,
+    case when g.places is null then w
+         else list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: not list_contains(g.places, x[2])), lambda x: x[1]) end as rest
+  from words w left join gone g on w.doc_id = g.doc_id)
+select doc_id, cast(n_words as bigint) as n_words, cast(n_removed as bigint) as n_removed,
+  sha256(array_to_string(rest, ' ')) as kept_sha256 from kept"""
+
+TOP_K = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from vectors q join vectors c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""

@@ -17,6 +17,7 @@ thousand.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -53,14 +54,18 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.normalizers import Sequence
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence as Steps, WhitespaceSplit
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
         # Plain words are normalised and cut already: the model alone is left.
         self.model = Tokenizer.from_str(self.lib.to_str())
         self.model.normalizer = Sequence([])
-        self.model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model.pre_tokenizer = Steps([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        # Whether a token ends a word.
+        vocab, suffix = self.lib.get_vocab(), json.loads(self.lib.to_str())["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.cache, self.words = Memo(cache_size), Memo(cache_size)
         self.table = WordTable(2 * cache_size)
 
@@ -93,7 +98,18 @@ class WordTokenizer:
 
     def plain_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words that are normalised and cut already."""
-        return self._ids(self.model, [w.decode() for w in words])
+        out = []
+        for i in range(0, len(words), 1000):      # one text of many words, told apart by their last tokens
+            some = words[i:i + 1000]
+            text = b" ".join(some).decode()
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            till = np.flatnonzero(self.last[ids]) + 1
+            if len(till) != len(some):
+                out += self._ids(self.model, text.split(" "))
+                continue
+            body = ids.tobytes()
+            out += [body[4 * a:4 * b] for a, b in zip([0, *till[:-1].tolist()], till.tolist())]
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin.
@@ -167,7 +183,9 @@ def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     opens &= np.cumsum(edge[:-1]).astype(bool)
     opens[starts] = True
     unit = np.flatnonzero(opens)
-    run = np.searchsorted(starts, unit, "right") - 1
+    first = np.zeros(n, bool)
+    first[starts] = True
+    run = np.cumsum(first[unit]) - 1
     till = ends[run]
     if len(unit):
         till[:-1] = np.minimum(till[:-1], unit[1:])

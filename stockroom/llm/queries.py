@@ -34,6 +34,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op9_topk": oracles.TOP_K,
     "op11_spelling_variants": oracles.SPELLING_VARIANTS,
     "op13_conversation_repair": oracles.CONVERSATION_REPAIR,
 }

@@ -252,6 +252,8 @@ select * from parsed_preview where event_timestamp > (select max(event_timestamp
     q["backfill_daily"] = build([PARSED_PREVIEW], "select * from (" + latest(
         "parsed_preview", "inventory_id, cast(event_timestamp as date)",
         where=between_ts("event_timestamp", *RANGE)) + ")")
+    q["backfill_chunked"] = q["backfill_daily"]
+    q["write_on_curve"] = q["sdp_demo"]
     q["sdp_incremental_key"] = build([PARSED_PREVIEW] + P8, "select * from p8")
     q["cdp_incremental_hwm"] = build([PARSED_PREVIEW] + P9, "select * from p9")
     q["cdp_incremental_range"] = build([PARSED_PREVIEW] + P10, "select * from p10")
@@ -341,6 +343,7 @@ from agg_demo group by country""")
 
     # joins
     q["left_join_dimension"] = build(DEMO_AGG, "select inventory_id, country, region, market from agg_demo")
+    q["left_join_entity_bucketed"] = build(DEMO_AGG, "select inventory_id, model_series, engine_type from agg_demo")
     q["left_join_entity"] = build(DEMO_AGG, "select inventory_id, model_series, engine_type from agg_demo")
 
     # generators, day arithmetic
@@ -410,6 +413,7 @@ where a.inventory_id is null or b.inventory_id is null
    or a.event_timestamp is distinct from b.event_timestamp
    or a.removal_date_time is distinct from b.removal_date_time
    or a.creation_date_time is distinct from b.creation_date_time""")
+    q["table_diff_pruned"] = q["table_diff"]
     return q
 
 

@@ -17,7 +17,7 @@ reaches the parquet scan of the raw table.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,8 @@ from stockroom.plans.preview import (
     LATEST_ORDER, SNAPSHOT_COLUMNS, cdp_preview, parse_preview, sdp_preview,
 )
 from stockroom.sinks.tables import (
-    commit_mark, committed_mark, merge_by_key, read_table, replace_time_range, table_exists,
+    _bytes_of, _location, commit_mark, committed_mark, merge_by_key, missing_days, read_table, replace_time_range,
+    table_exists,
 )
 from stockroom.sinks import versions
 
@@ -135,3 +136,41 @@ def backfill(run: Callable[[object, object], None], start, end, one_job: bool =
         return
     for d in days(start, end):
         run(d.isoformat(), d.isoformat())
+
+
+def day_bytes(spark: SparkSession, table: str, day_col: str, start, end) -> dict[_dt.date, int]:
+    """Stored bytes of each day partition in ``start .. end``, from the catalog
+    and the file system's metadata."""
+    lo, hi = days(start, start)[0], days(end, end)[0]
+    out = {}
+    root = _location(spark, table)
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        text = spec.split("=", 1)[1]
+        if text[:1].isdigit() and lo <= _dt.date.fromisoformat(text) <= hi:
+            out[_dt.date.fromisoformat(text)] = _bytes_of(spark, f"{root}/{spec}")
+    return out
+
+
+def plan_chunks(todo: Sequence[_dt.date], sizes: Mapping[_dt.date, int], budget: int) -> list[tuple[_dt.date, _dt.date]]:
+    """Runs of consecutive days to do, each of at most ``budget`` bytes (a larger
+    day is a chunk of its own)."""
+    out: list[list] = []
+    for d in todo:
+        size = sizes.get(d, 0)
+        if out and out[-1][1] + _dt.timedelta(days=1) == d and out[-1][2] + size <= budget:
+            out[-1][1:] = d, out[-1][2] + size
+        else:
+            out.append([d, d, size])
+    return [(a, b) for a, b, _ in out]
+
+
+def backfill_chunked(spark: SparkSession, run: Callable[[object, object], None], source: str, target: str, start, end,
+                     budget: int, day_col: str = "event_date") -> list[tuple[_dt.date, _dt.date]]:
+    """Run an interval model that replaces ranges of ``target`` over the days of
+    ``start .. end`` that ``target`` has not recorded yet, in commits that read
+    at most about ``budget`` stored bytes of ``source`` each. A run that stops
+    goes on from the recorded days. Returns the chunks it ran."""
+    chunks = plan_chunks(missing_days(spark, target, start, end), day_bytes(spark, source, day_col, start, end), budget)
+    for lo, hi in chunks:
+        run(lo.isoformat(), hi.isoformat())
+    return chunks

@@ -32,7 +32,7 @@ from stockroom.operators.latest import (
 from stockroom.operators.spans import expand_days, validity_span
 from stockroom.plans import demo, incremental, live_stock, preview
 from stockroom.session import scratch_database, scratch_path
-from stockroom.sinks import tables as sinks, versions
+from stockroom.sinks import layout, tables as sinks, versions
 from stockroom.sources import fixtures
 from stockroom.sources.tables import KAFKA, load, source, table_path
 from stockroom.streaming.ingest import append_stream, ingest, land_raw, read_stream, with_event_date
@@ -323,6 +323,15 @@ def q_left_join_entity(spark, sf):
     return j
 
 
+def q_left_join_entity_bucketed(spark, sf):
+    """Vehicle spans joined with the vehicle data, both stored in buckets of the id."""
+    db = scratch_database(spark)
+    layout.write_bucketed(_spans(spark, sf).select("inventory_id"), f"{db}.spans", ["inventory_id"], 8)
+    layout.write_bucketed(_fx(spark, sf, "vehicle_data").select("inventory_id", "model_series", "engine_type"),
+                          f"{db}.vehicle_data", ["inventory_id"], 8)
+    return left_join_entity(spark.table(f"{db}.spans"), spark.table(f"{db}.vehicle_data").hint("merge"), "inventory_id")
+
+
 # ------------------------------------------------------------------ generators
 
 def q_explode_days_inner(spark, sf):
@@ -385,6 +394,15 @@ def q_table_diff(spark, sf):
     return quality.table_diff(preview.sdp_preview(b1), _p4(spark, sf), ["inventory_id"])
 
 
+def q_table_diff_pruned(spark, sf):
+    """The diff of two stored snapshots; parts with equal digests are not read."""
+    db = scratch_database(spark)
+    b1, _ = _batches(spark, sf)
+    layout.write_digested(preview.sdp_preview(b1), f"{db}.before", ["inventory_id"])
+    layout.write_digested(_p4(spark, sf), f"{db}.after", ["inventory_id"])
+    return layout.table_diff_pruned(spark, f"{db}.before", f"{db}.after", ["inventory_id"])
+
+
 # ------------------------------------------------------------------ sources and sinks
 
 def q_source_declared_schema(spark, sf):
@@ -497,6 +515,25 @@ def q_backfill_daily(spark, sf):
     return sinks.read_table(spark, t)
 
 
+def q_backfill_chunked(spark, sf):
+    """The same days in several commits: at most a third of the raw bytes each."""
+    db = scratch_database(spark)
+    raw = _raw_table(spark, db, _fx(spark, sf, "raw_preview"))
+    t = f"{db}.sdp_inventory_vehicles_preview_incremental"
+    sizes = incremental.day_bytes(spark, raw, "event_date", *RANGE)
+    incremental.backfill_chunked(
+        spark, lambda s, e: incremental.sdp_incremental_range(spark, spark.table(raw), t, s, e, day_col="event_date"),
+        raw, t, *RANGE, budget=sum(sizes.values()) // 3)
+    return sinks.read_table(spark, t)
+
+
+def q_write_on_curve(spark, sf):
+    """The typed events stored along a curve over event time and dealer."""
+    t = f"{scratch_database(spark)}.sdp_inventory_vehicles_demo"
+    layout.write_on_curve(_p1(spark, sf), t, ["event_timestamp", "dealer_name"])
+    return sinks.read_table(spark, t)
+
+
 def q_demo_chain_tables(spark, sf):
     """The demo chain materialized model by model; the daily stock table."""
     from stockroom.plans.project import run_demo_chain
@@ -754,6 +791,8 @@ QUERIES: dict[str, Query] = {
     "replace_time_range": q_replace_time_range,
     "incremental_first_run": q_incremental_first_run,
     "backfill_daily": q_backfill_daily,
+    "backfill_chunked": q_backfill_chunked,
+    "write_on_curve": q_write_on_curve,
     # filters
     "filter_null_id": q_filter_null_id,
     "filter_valid_span": q_filter_valid_span,
@@ -775,6 +814,7 @@ QUERIES: dict[str, Query] = {
     # joins
     "left_join_dimension": q_left_join_dimension,
     "left_join_entity": q_left_join_entity,
+    "left_join_entity_bucketed": q_left_join_entity_bucketed,
     # generators and day arithmetic
     "explode_days_inner": q_explode_days_inner,
     "explode_days_outer": q_explode_days_outer,
@@ -796,4 +836,5 @@ QUERIES: dict[str, Query] = {
     "audit_unique_grain": q_audit_unique_grain,
     "audit_summary": q_audit_summary,
     "table_diff": q_table_diff,
+    "table_diff_pruned": q_table_diff_pruned,
 }

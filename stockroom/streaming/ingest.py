@@ -82,11 +82,16 @@ def land_raw(df: DataFrame, processed_at: Column | str | _dt.datetime | None = N
 
 def append_stream(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet",
                   available_now: bool = True, options: Mapping[str, str] | None = None,
-                  partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+                  partition_by: tuple[str, ...] = (), files: int | None = None) -> StreamingQuery:
     """Append a stream into a catalog table with a checkpoint (exactly-once
     file sink). ``available_now``: process what is there, then stop.
     ``partition_by``: e.g. ``("event_date",)`` after :func:`with_event_date`,
-    so later time filters prune whole days."""
+    so later time filters prune whole days. ``files``: rows of a partition are
+    brought together in at most so many tasks, so a micro-batch leaves at most
+    that many files a partition instead of one a task; a day with very many rows
+    is still shared by that many tasks."""
+    if partition_by and files:
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).options(**(options or {})))
     if partition_by:
@@ -97,8 +102,8 @@ def append_stream(df: DataFrame, table: str, checkpoint: str, fmt: str = "parque
 
 def ingest(spark: SparkSession, source_fmt: str, table: str, checkpoint: str,
            schema: T.StructType | None = None, path: str | None = None,
-           processed_at=None, **options) -> StreamingQuery:
-    """Source stream -> raw projection -> append sink."""
+           processed_at=None, files: int | None = None, **options) -> StreamingQuery:
+    """Source stream -> raw projection -> append sink (``files``: see :func:`append_stream`)."""
     src = read_stream(spark, source_fmt, schema, path, **options)
     return append_stream(with_event_date(land_raw(src, processed_at)), table, checkpoint,
-                         partition_by=("event_date",))
+                         partition_by=("event_date",), files=files)

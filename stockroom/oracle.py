@@ -228,7 +228,11 @@ def _q() -> dict[str, str]:
     q["agg_demo_window"] = q["agg_demo"]
     q["full_refresh"] = q["agg_demo"]
     q["cdp_demo"] = build(DEMO_AGG + [EXPLODED_DEMO], CDP_DEMO_FINAL)
-    q["cdp_demo_sweep"] = q["cdp_demo"]
+    q["cdp_demo_sweep"] = build(DEMO_AGG + [EXPLODED_DEMO], f"""
+select stock_date, {DIMS}, count(*) as net_stock_count,
+  cast(sum(case when porsche_approved then 1 else 0 end) as bigint) as approved_count,
+  cast(sum(stock_days) as bigint) as stock_days
+from exploded_demo where stock_date between {d('2024-01-10')} and {d('2024-01-20')} group by all""")
     q["demo_chain_tables"] = q["cdp_demo"]
     q["cdp_demo_explode"] = q["cdp_demo"]
     q["sdp_preview"] = build(PREVIEW, "select * from sdp_preview")
@@ -236,7 +240,11 @@ def _q() -> dict[str, str]:
     q["passthrough_copy"] = q["sdp_preview"]
     q["view_materialization"] = q["sdp_preview"]
     q["cdp_preview"] = build(PREVIEW_DAILY, daily("exploded"))
-    q["daily_stock"] = q["cdp_preview"]
+    q["daily_stock"] = build(DEMO_AGG + [EXPLODED_DEMO], """
+select stock_date, country, count(*) as net_stock_count,
+  cast(sum(case when online_orderable then 1 else 0 end) as bigint) as online_orderable_count,
+  cast(sum(stock_days) as bigint) as stock_days
+from exploded_demo where stock_date is not null group by all""")
     q["preview_chain_tables"] = q["cdp_preview"]
     q["cdp_preview_explode"] = q["cdp_preview"]
 

@@ -29,7 +29,7 @@ from stockroom.operators.filters import (
 from stockroom.operators.latest import (
     dedup_redelivery, first_over_full_frame, latest_attributes, latest_per_key,
 )
-from stockroom.operators.spans import expand_days, validity_span
+from stockroom.operators.spans import daily_stock, expand_days, validity_span
 from stockroom.plans import demo, incremental, live_stock, preview
 from stockroom.session import scratch_database, scratch_path
 from stockroom.sinks import layout, tables as sinks, versions
@@ -131,8 +131,15 @@ def q_cdp_demo(spark, sf):
     return demo.cdp_demo(_p2(spark, sf))
 
 
+#: Days of the clamped demo stock.
+DEMO_DAYS = ("2024-01-10", "2024-01-20")
+
+
 def q_cdp_demo_sweep(spark, sf):
-    return demo.cdp_demo(_p2(spark, sf), method="sweep")
+    """Daily stock of the demo spans on some days only, clamped before the sweep."""
+    return daily_stock(_p2(spark, sf), "valid_from", "valid_to", demo.DIMENSIONS,
+                       {"net_stock_count": F.lit(1), "approved_count": flag_to_int("porsche_approved")},
+                       method="sweep", lo=DEMO_DAYS[0], hi=DEMO_DAYS[1])
 
 
 def q_cdp_demo_explode(spark, sf):
@@ -152,7 +159,9 @@ def q_cdp_preview(spark, sf):
 
 
 def q_daily_stock(spark, sf):
-    return preview.cdp_preview(_p4(spark, sf), AS_OF, method="sweep")
+    """Daily stock by country with a conditional count (one row per span and day)."""
+    return daily_stock(_p2(spark, sf), "valid_from", "valid_to", ["country"],
+                       {"net_stock_count": F.lit(1), "online_orderable_count": flag_to_int("online_orderable")})
 
 
 def q_cdp_preview_explode(spark, sf):
@@ -671,7 +680,7 @@ def q_stream_land_raw(spark, sf):
     t, ckpt = f"{db}.raw_inventory_vehicles_preview", scratch_path(spark, "ckpt")
 
     def run():
-        ingest(spark, "parquet", t, ckpt, _kafka_schema(), topic, AS_OF, maxFilesPerTrigger="2").awaitTermination()
+        ingest(spark, "parquet", t, ckpt, _kafka_schema(), topic, AS_OF, files=1, maxFilesPerTrigger="2").awaitTermination()
 
     k1.write.mode("append").parquet(topic)
     run()
@@ -694,7 +703,7 @@ def q_stream_upsert_latest(spark, sf):
         src = read_stream(spark, "parquet", _kafka_schema(), topic, maxFilesPerTrigger="2")
         stream_upsert_latest(src, t, ["inventory_id"],
                              ["event_timestamp", "processed_at", "raw_hash"], ckpt,
-                             transform=to_rows).awaitTermination()
+                             transform=to_rows, store="delta").awaitTermination()
 
     # Late rows first: the recency guard must keep the newer stored rows.
     k2.write.mode("append").parquet(topic)

@@ -8,8 +8,11 @@ stores marks, processed days and the like. A reader of ``name``, with this
 library or without it, finds the old rows or the new ones, never neither and
 never a mix. A run that stops before that statement has changed nothing; what it
 left is dropped by the next commit, and so are the parts the last commit hid
-(until then :func:`undo` brings them back). One writer at a time.
+(until then :func:`undo` brings them back): just before its own statement, once
+its rows are written and checked. One writer at a time.
 
+* :func:`publish`: a full refresh, of any columns and partitions; each commit
+  has a table of its own, which is shown only if its audits find nothing.
 * :func:`replace_range` (parts are days): the segment holds the range's rows,
   the view hides older segments' days of the range.
 * :func:`merge` (parts are hash buckets): the batch becomes a *delta* segment of
@@ -38,6 +41,7 @@ from pyspark.sql import types as T
 from stockroom.operators.filters import interval_predicate
 from stockroom.operators.enrich import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 from stockroom.operators.latest import latest_per_key
+from stockroom.operators.quality import Audit, AuditError, observed_audits
 from stockroom.sinks.tables import (
     MIN_BUCKETS, PART, _by_part, _check_keys, _properties, _sql_str, assert_same_schema, bucket_of,
     covered_days, table_exists,
@@ -113,6 +117,8 @@ def _visible(state: Mapping) -> str:
 
 def _select(state: Mapping) -> str:
     cols, data = state["columns"], state["data"]
+    if state["kind"] == "full":
+        return f"SELECT {_cols(cols)} FROM {data}"
     base = f"SELECT {_cols(cols)} FROM {data} WHERE {_visible(state)}"
     if not state.get("deltas"):
         return base
@@ -166,9 +172,22 @@ def _is_hidden(state: Mapping, seg: int, part: str) -> bool:
     return any(lo <= part <= hi for lo, hi in hidden) if state["kind"] == "range" else int(part) in hidden
 
 
-def _clean(spark: SparkSession, name: str, state: Mapping) -> None:
-    """Drop what no reader of the current version sees."""
-    _drop_parts(spark, state, [p for p in _parts(spark, state["data"]) if _is_hidden(state, *p)])
+def _clean(spark: SparkSession, name: str, state: Mapping, new: int) -> None:
+    """Drop what no reader of the current version sees, but for the segment ``new``
+    that is about to be shown."""
+    if state["kind"] == "full":
+        _drop_tables(spark, name, keep=(state["data"], f"{name}__v{new}"))
+        return
+    _drop_parts(spark, state, [p for p in _parts(spark, state["data"]) if p[0] != new and _is_hidden(state, *p)])
+
+
+def _drop_tables(spark: SparkSession, name: str, keep: Sequence[str] = ()) -> None:
+    """Tables of earlier versions, and of runs that stopped."""
+    db, _, short = name.rpartition(".")
+    for r in spark.sql(f"SHOW TABLES {f'IN {db} ' if db else ''}LIKE '{short}__v*'").collect():
+        t = f"{db}.{r.tableName}" if db else r.tableName
+        if not r.isTemporary and t not in keep and r.tableName[len(short) + 3:].isdigit():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
 def _next_segment(state: Mapping | None) -> int:
@@ -232,6 +251,37 @@ def _data_table(name: str) -> str:
 
 # ---------------------------------------------------------------- commits
 
+def publish(spark: SparkSession, name: str, df: DataFrame, partition_by: Sequence[str] = (), audits: Sequence[Audit] = (),
+            on_violation: str = "error", properties: Mapping[str, str] | None = None) -> dict[str, int]:
+    """Full refresh in one step, also when columns or partitions change. Audits
+    are counted while the rows are written and returned; with
+    ``on_violation="error"`` rows that violate one are never shown."""
+    state = state_of(spark, name)
+    if state is not None and state["kind"] != "full":
+        raise NotVersionedError(f"{name} is a table of kind {state['kind']}, not full")
+    if state is None:
+        _drop_tables(spark, name)
+    seg = _next_segment(state)
+    table = f"{name}__v{seg}"
+    watched, violations = observed_audits(df, audits)
+    try:
+        spark.createDataFrame([], df.schema).write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
+        watched.select(*spark.table(table).columns).write.insertInto(table)
+        found = violations()
+        bad = {k: n for k, n in found.items() if n}
+        if bad and on_violation == "error":
+            raise AuditError("; ".join(f"{k}: {n}" for k, n in bad.items()))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    if state:
+        _clean(spark, name, state, seg)
+    _publish(spark, name, _following(spark, name, state, kind="full", data=table, columns=df.columns, seg=seg,
+                                     version=(state["version"] if state else 0) + 1),
+             _kept_properties(spark, name) | dict(properties or {}))
+    return found
+
+
 def replace_range(spark: SparkSession, name: str, batch: DataFrame, time_col: str, start, end,
                   unit: str = "timestamp", marks: Sequence[str] = (), properties: Mapping[str, str] | None = None) -> None:
     """Replace exactly the days ``start .. end`` of ``name`` by the batch's rows
@@ -263,11 +313,11 @@ def _replace(spark, name, rows: DataFrame, time_col: str, hidden: list, marks: S
     state = state_of(spark, name)
     _check_target(spark, name, state, "range", rows.schema)
     columns = state["columns"] if state else rows.columns
-    if state:
-        _clean(spark, name, state)
     seg, data = _next_segment(state), state["data"] if state else _data_table(name)
     got = _write_segment(spark, data, _by_part(rows.withColumn(PART, F.to_date(F.col(time_col)))), seg, columns,
                          state is None, marks=marks)
+    if state:
+        _clean(spark, name, state, seg)
     props = _with_marks(_kept_properties(spark, name), got, marks) | dict(properties)
     _publish(spark, name, _following(spark, name, state, kind="range", data=data, columns=list(columns), seg=seg, base=seg,
                                      hidden=hidden, version=(state["version"] if state else 0) + 1), props)
@@ -293,7 +343,6 @@ def merge(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
         state = state_of(spark, name)
     columns = state["columns"] if state else batch.columns
     if state:
-        _clean(spark, name, state)
         rows = batch.withColumn(PART, F.lit(DELTA))
     else:
         buckets = buckets or MIN_BUCKETS
@@ -302,6 +351,8 @@ def merge(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
     got = _write_segment(spark, data, rows, seg, columns, state is None, keys, marks)
     if check:
         _check_keys(spark.table(data).where(F.col(SEG) == seg), keys)
+    if state:
+        _clean(spark, name, state, seg)
     props = _with_marks(_kept_properties(spark, name), got, marks) | dict(properties or {})
     if state is None:
         _publish(spark, name, _following(spark, name, None, kind="key", data=data, columns=list(columns), keys=keys, order=order,
@@ -336,9 +387,9 @@ def compact(spark: SparkSession, name: str, buckets: int | None = None) -> None:
         hidden = touched
     else:
         hidden = list(range(state["buckets"]))
-    _clean(spark, name, state)
     seg = _next_segment(state)
     _write_segment(spark, state["data"], _by_part(rows), seg, state["columns"], first=False)
+    _clean(spark, name, state, seg)
     _publish(spark, name, _following(spark, name, state, seg=seg, base=seg, hidden=hidden, deltas=[], rows=0, bytes=0, buckets=count),
              _kept_properties(spark, name))
 
@@ -363,4 +414,7 @@ def drop(spark: SparkSession, name: str) -> None:
     state = state_of(spark, name)
     if state:
         spark.sql(f"DROP VIEW {name}")
-        spark.sql(f"DROP TABLE IF EXISTS {state['data']}")
+        if state["kind"] == "full":
+            _drop_tables(spark, name)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {state['data']}")

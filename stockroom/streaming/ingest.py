@@ -102,7 +102,7 @@ def append_stream(df: DataFrame, table: str, checkpoint: str, fmt: str = "parque
 
 def ingest(spark: SparkSession, source_fmt: str, table: str, checkpoint: str,
            schema: T.StructType | None = None, path: str | None = None,
-           processed_at=None, files: int | None = None, **options) -> StreamingQuery:
+           processed_at=None, files: int | None = 4, **options) -> StreamingQuery:
     """Source stream -> raw projection -> append sink (``files``: see :func:`append_stream`)."""
     src = read_stream(spark, source_fmt, schema, path, **options)
     return append_stream(with_event_date(land_raw(src, processed_at)), table, checkpoint,

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from stockroom.operators.latest import latest_per_key
+from stockroom.sinks import versions
 from stockroom.sinks.tables import merge_by_key
 
 
@@ -28,10 +29,13 @@ def any_null_keys_possible(df: DataFrame, keys: Sequence[str]) -> bool:
 def stream_upsert_latest(sdf: DataFrame, table: str, keys: Sequence[str], order: Sequence,
                          checkpoint: str,
                          transform: Callable[[DataFrame], DataFrame] | None = None,
-                         available_now: bool = True, columns: Sequence[str] | None = None
-                         ) -> StreamingQuery:
+                         available_now: bool = True, columns: Sequence[str] | None = None,
+                         store: str = "rewrite") -> StreamingQuery:
     """Start a stream that keeps ``table`` at the latest row per ``keys``.
 
+    ``store``: ``"rewrite"`` rewrites the buckets that a micro-batch touches,
+    ``"delta"`` writes its rows only (:mod:`stockroom.sinks.versions`).
+
     ``transform`` maps a raw micro-batch to rows with ``keys`` and the
     ``order`` columns; ``columns`` are the stored columns (default: all).
     """
@@ -44,9 +48,11 @@ def stream_upsert_latest(sdf: DataFrame, table: str, keys: Sequence[str], order:
         latest = latest_per_key(rows, keys, order)
         if columns is not None:
             latest = latest.select(*columns)
-        merge_by_key(batch.sparkSession, table, latest, keys,
-                     order=list(order),
-                     check=any_null_keys_possible(rows, keys))
+        check = any_null_keys_possible(rows, keys)
+        if store == "delta":
+            versions.merge(batch.sparkSession, table, latest, list(keys), order=list(order), check=check)
+        else:
+            merge_by_key(batch.sparkSession, table, latest, keys, order=list(order), check=check)
 
     w = sdf.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w

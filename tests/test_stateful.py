@@ -67,3 +67,15 @@ def test_null_times_and_keys(spark):
     empty = F.col("v") > 9
     stream_latest(_source(spark, path).where(empty), f"{table}2", ["k"], ["t"], scratch_path(spark, "ckpt")).awaitTermination()
     assert spark.table(f"{table}2").count() == 0
+
+
+def test_micro_batch_upsert_by_delta(spark):
+    from stockroom.streaming.upsert import stream_upsert_latest
+    path, db = scratch_path(spark, "in"), scratch_database(spark)
+    for data in ([(f"k{i}", T(2024, 1, 5), i) for i in range(30)], [("k1", T(2024, 1, 4), 9), ("k2", T(2024, 1, 6), 9)]):
+        _files(spark, path, data)
+        for store in ("rewrite", "delta"):
+            stream_upsert_latest(_source(spark, path), f"{db}.{store}", ["k"], ["t"], scratch_path(spark, "ckpt"), store=store).awaitTermination()
+    from stockroom.sinks import read_table
+    got = [rows(read_table(spark, f"{db}.{store}")) for store in ("rewrite", "delta")]
+    assert got[0] == got[1] and len(got[0]) == 30 and ("k2", T(2024, 1, 6), 9) in got[0]

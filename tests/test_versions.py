@@ -231,3 +231,33 @@ def test_another_session_reads_whole_versions(spark):
         assert other.table(t).agg(F.min("v"), F.max("v"), F.count("*")).first() == (v, v, 30)
     versions.drop(spark, t)
     assert not tables.table_exists(spark, t) and not tables.table_exists(spark, f"{t}__data")
+
+
+def test_publish_changes_columns_and_partitions_in_one_step(spark, monkeypatch):
+    from stockroom.operators.quality import Audit, AuditError
+    t = _name(spark)
+    versions.publish(spark, t, spark.range(5))
+    files = spark.table(t).inputFiles()
+    wide = spark.range(8).select("id", (F.col("id") % 2).alias("p"), F.lit("x").alias("s"))
+    real = versions._publish
+    monkeypatch.setattr(versions, "_publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        versions.publish(spark, t, wide, partition_by=["p"])
+    assert rows(spark.table(t)) == [(i,) for i in range(5)]
+    monkeypatch.setattr(versions, "_publish", real)
+    assert versions.publish(spark, t, wide, partition_by=["p"], audits=[Audit("u", "unique", keys=("id",))]) == {"u": 0}
+    assert rows(spark.table(t)) == rows(wide) and spark.table(t).columns == ["id", "p", "s"]
+    assert spark.read.parquet(*files).count() == 5        # a reader of the version before can end
+    with pytest.raises(AuditError):
+        versions.publish(spark, t, wide, audits=[Audit("p", "unique", keys=("p",))])
+    assert rows(spark.table(t)) == rows(wide)
+    versions.undo(spark, t)
+    assert rows(spark.table(t)) == [(i,) for i in range(5)]
+    versions.publish(spark, t, spark.range(2))
+    versions.publish(spark, t, spark.range(3))
+    names = [r.tableName for r in spark.sql(f"SHOW TABLES IN {t.split('.')[0]}").collect() if not r.isTemporary]
+    assert spark.table(t).count() == 3 and len(names) == 3         # the view, its table, and the one before
+    with pytest.raises(versions.NotVersionedError):
+        versions.merge(spark, t, spark.range(3), ["id"])
+    versions.drop(spark, t)
+    assert [r for r in spark.sql(f"SHOW TABLES IN {t.split('.')[0]}").collect() if not r.isTemporary] == []

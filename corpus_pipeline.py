@@ -37,7 +37,11 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _only(docs: DataFrame, key: str, rows: DataFrame, columns: list[str]) -> DataFrame:
-    return docs.join(rows.select(key).distinct(), key, "left_semi").select(columns)
+    ensure_checkpoint_dir(docs.sparkSession)
+    # Written first: the join then deals the keys out by itself, and Spark can
+    # split the copies of one text among tasks.
+    kept = rows.select(key).distinct().checkpoint()
+    return docs.join(kept, key, "left_semi").select(columns)
 
 
 def _own_ids(docs: DataFrame) -> tuple[DataFrame, str]:

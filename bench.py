@@ -115,7 +115,6 @@ BENCH = {
     "IO9_merge_new_rows": Prepared(_io9_prepare, _io9_merge("delta")),
     "IO9_merge_rewrite": Prepared(_io9_prepare, _io9_merge("rewrite")),
     "cdp_incremental_range": QUERIES["cdp_incremental_range"],
-    "cdp_incremental_delta": QUERIES["cdp_incremental_delta"],
     "stream_land_raw": QUERIES["stream_land_raw"],
 }
 

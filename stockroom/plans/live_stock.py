@@ -53,6 +53,9 @@ def apply_change(spark: SparkSession, table: str, change: DataFrame, day_col: st
     ensure_checkpoint_dir(spark)
     change = change.select(day_col, *dims, *measures).checkpoint()
     days = [r[0] for r in change.select(day_col).distinct().orderBy(day_col).collect()]
+    if not days:
+        versions.note(spark, table, properties)
+        return days
     stored = spark.table(table)
     both = stored.where(F.col(day_col).isin(days)).select(day_col, *dims, *measures).unionByName(change)
     new = (both.groupBy(day_col, *dims).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])

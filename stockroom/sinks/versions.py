@@ -401,6 +401,11 @@ def _merged(base: DataFrame, deltas: DataFrame, state: Mapping) -> DataFrame:
     return latest_per_key(both, keys, [*state["order"], SEG]).select(*cols)
 
 
+def note(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
+    """Store properties with the rows as they are (one step)."""
+    _publish(spark, name, state_of(spark, name), _kept_properties(spark, name) | dict(properties))
+
+
 def undo(spark: SparkSession, name: str) -> None:
     """Take the last commit back, with its marks and other properties (one step)."""
     state = state_of(spark, name)

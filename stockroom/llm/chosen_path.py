@@ -8,7 +8,7 @@ that are still larger then hold sets alike to one another and are compared in
 pairs of blocks. Inside buckets every pair is compared exactly. Two sets of
 similarity s share a bucket of depth k with probability s^k a run, and runs are
 repeated until a pair of 0.8 is found with probability TARGET: eight runs for
-depth one, and 12, 17 or 22 for texts that some run splits to depth two to four.
+depth one, 12 for texts that some run splits to depth two, 22 for those beyond.
 
 A pair is compared in the first run that brings it together: texts without a
 new partner in a bucket are not sent there. Pairs are counted where they are
@@ -116,7 +116,7 @@ def buckets(texts: DataFrame, deep_nodes) -> DataFrame:
     splitting it helps. ``texts`` has the first nodes of the runs that depth one
     takes; ``deep_nodes`` makes all nodes of the texts of a column uid.
 
-    A text takes part in as many runs as the greatest depth it has come to takes.
+    A text takes part in at least as many runs as the greatest depth it has come to takes.
     Two texts share as many runs as the lesser of their depths takes, and their
     buckets are never split further than that, so every pair is found with
     probability TARGET."""
@@ -133,14 +133,15 @@ def buckets(texts: DataFrame, deep_nodes) -> DataFrame:
     found, reached = _split(rows, 1)
     reached = [(2, nodes.select("uid")), *reached]
     out = out.unionByName(found)
-    for depth in range(2, LEVELS + 1):
+    # Two rungs: alike texts end at depth two; all others go up to the last level.
+    for depth, till in ((2, 2), (3, LEVELS)):
         deep = [uids for d, uids in reached if d >= depth]
         if not deep:
             break
         active = deep[0]
         for uids in deep[1:]:
             active = active.unionByName(uids)
-        every = F.sequence(F.lit(runs_for(depth - 1)), F.lit(runs_for(depth) - 1))
+        every = F.sequence(F.lit(runs_for(depth - 1)), F.lit(runs_for(till) - 1))
         rows = nodes.join(active.distinct(), "uid").select("uid", F.explode(every).alias("run"), "nodes").select(
             "uid", "run", F.lit(None).cast("long").alias("parent"), F.slice("nodes", F.col("run") * LEVELS + 1, LEVELS).alias("path"))
         found, more = _split(rows, 0)

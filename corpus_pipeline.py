@@ -7,7 +7,8 @@ the columns of ``documents``; the last returns the packed pieces. Texts without
 words that dedup leaves behind stay as empty documents. A verdict depends on a
 row's text and language alone, so it holds for every row that has these, with
 any doc_id or none. Dedup takes different texts that share a doc_id, and texts
-without one, as documents of their own, which come after all others.
+without one, as documents of their own, which come after all others. Columns of
+the table may have any names but ``__shared`` and ``__first``.
 """
 
 from __future__ import annotations

@@ -71,10 +71,6 @@ def state_of(spark: SparkSession, name: str) -> dict | None:
     return json.loads(props[_STATE])
 
 
-def is_versioned(spark: SparkSession, name: str) -> bool:
-    return table_exists(spark, name) and _STATE in _properties(spark, name)
-
-
 def version_of(spark: SparkSession, name: str) -> int:
     """Number of commits that changed the rows (0: no table)."""
     state = state_of(spark, name)

@@ -131,15 +131,9 @@ def q_cdp_demo(spark, sf):
     return demo.cdp_demo(_p2(spark, sf))
 
 
-#: Days of the clamped demo stock.
-DEMO_DAYS = ("2024-01-10", "2024-01-20")
-
-
 def q_cdp_demo_sweep(spark, sf):
-    """Daily stock of the demo spans on some days only, clamped before the sweep."""
-    return daily_stock(_p2(spark, sf), "valid_from", "valid_to", demo.DIMENSIONS,
-                       {"net_stock_count": F.lit(1), "approved_count": flag_to_int("porsche_approved")},
-                       method="sweep", lo=DEMO_DAYS[0], hi=DEMO_DAYS[1])
+    """The whole demo stock (every day, every measure, vehicles without span) by the sweep."""
+    return demo.cdp_demo(_p2(spark, sf), method="sweep")
 
 
 def q_cdp_demo_explode(spark, sf):
